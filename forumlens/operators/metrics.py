@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def confusion_matrix(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     return predictions.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
-        F.count(F.lit(1)).alias("n")
+        F.count("*").alias("n")
     )
 
 

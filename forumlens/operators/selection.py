@@ -16,7 +16,7 @@ def score_filter(questions: DataFrame, threshold: int = 10) -> DataFrame:
 
 
 def tag_counts(tagged: DataFrame) -> DataFrame:
-    return tagged.groupBy("tag").agg(F.count(F.lit(1)).alias("count"))
+    return tagged.groupBy("tag").agg(F.count("*").alias("count"))
 
 
 def top_tags(tagged: DataFrame, n: int = 10) -> DataFrame:
@@ -59,7 +59,7 @@ def find_cut(df: DataFrame, key: Column, k: int) -> Cut:
         buckets = (
             keyed.filter(F.col("key").between(low, high))
             .groupBy(F.shiftright("key", shift).alias("bucket"))
-            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.count("*").alias("n"))
         )
         running = F.sum("n").over(Window.orderBy("bucket"))
         hit = (
@@ -97,10 +97,14 @@ def first_k(df: DataFrame, k: int, *keys: Column) -> DataFrame:
     raise ValueError("the keys do not tell the rows at the cut apart")
 
 
+def falling_score() -> Column:
+    """Key for `first_k` that puts high scores first and a null score last."""
+    return F.coalesce(-F.col("score").cast("bigint"), F.lit(1 << 40))
+
+
 def highest_scores(df: DataFrame, k: int, id_column: str = "id") -> DataFrame:
-    """k rows of highest score, equal scores by id; a null score comes last."""
-    falling = F.coalesce(-F.col("score").cast("bigint"), F.lit(1 << 40))
-    return first_k(df, k, falling, F.col(id_column).cast("bigint"))
+    """k rows of highest score, equal scores by id."""
+    return first_k(df, k, falling_score(), F.col(id_column).cast("bigint"))
 
 
 def class_sizes(df: DataFrame, label: str = "label") -> dict[int, int]:

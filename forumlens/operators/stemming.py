@@ -21,7 +21,7 @@ def stem_words(df: DataFrame, id_column: str, words: str) -> DataFrame:
     A group on the way back is one text, which was a single row before.
     """
     tokens = df.select(id_column, F.posexplode_outer(words).alias("pos", "word"))
-    counted = tokens.filter("word is not null").groupBy("word").agg(F.count(F.lit(1)).alias("total_count"))
+    counted = tokens.filter("word is not null").groupBy("word").agg(F.count("*").alias("total_count"))
     lexicon = stored(stem_vocabulary(counted), "stems")
     stemmed = skew_safe_lookup(tokens, lexicon, "word", "total_count", F.struct(id_column, "pos"), how="left")
     ordered = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "stem"))))

@@ -33,16 +33,16 @@ def term_counts(df: DataFrame, id_column: str, words: Column) -> DataFrame:
 def vocabulary(terms: DataFrame) -> DataFrame:
     """Distinct words with total and document counts, combined before the shuffle."""
     return terms.groupBy("word").agg(
-        F.sum("n").alias("total_count"), F.count(F.lit(1)).alias("doc_count")
+        F.sum("n").alias("total_count"), F.count("*").alias("doc_count")
     )
 
 
 def inverse_document_frequency(terms: DataFrame, documents: DataFrame) -> DataFrame:
     """ln((m + 1) / (df + 1)) per word, with m counting the empty documents too."""
-    m = documents.agg(F.count(F.lit(1))).scalar()
+    m = documents.agg(F.count("*")).scalar()
     return (
         terms.groupBy("word")
-        .agg(F.count(F.lit(1)).alias("doc_count"))
+        .agg(F.count("*").alias("doc_count"))
         .withColumn("idf", F.ln((m + F.lit(1.0)) / (F.col("doc_count") + F.lit(1.0))))
     )
 

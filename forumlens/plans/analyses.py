@@ -14,8 +14,6 @@ from forumlens.operators.selection import tag_counts
 from forumlens.session import stored
 from forumlens.sources.writers import write_result
 
-ROWS = F.count(F.lit(1))
-
 
 def _by_count(counts: DataFrame, limit: int | None, value: str = "count") -> DataFrame:
     ordered = counts.orderBy(F.desc(value), F.asc("tag"))
@@ -23,7 +21,7 @@ def _by_count(counts: DataFrame, limit: int | None, value: str = "count") -> Dat
 
 
 def _per(questions: DataFrame, key: Column, name: str) -> DataFrame:
-    return questions.groupBy(key.alias(name)).agg(ROWS.alias("count")).orderBy(name)
+    return questions.groupBy(key.alias(name)).agg(F.count("*").alias("count")).orderBy(name)
 
 
 def questions_per_year(questions: DataFrame) -> DataFrame:
@@ -74,7 +72,7 @@ def tags_per_question(questions: DataFrame, tags: DataFrame) -> DataFrame:
 def _histogram(counts: DataFrame) -> DataFrame:
     return (
         counts.groupBy(F.col("tag_count").alias("tags_number"))
-        .agg(ROWS.alias("count"))
+        .agg(F.count("*").alias("count"))
         .orderBy(F.desc("tags_number"))
     )
 
@@ -103,7 +101,7 @@ def analyse(questions: DataFrame, answers: DataFrame, tags: DataFrame) -> dict[s
     labelled = stored(label_answered(questions.select("id", "creation_date", "score"), answers), "labelled")
     calendar = stored(
         labelled.groupBy(F.year("creation_date").alias("year"), F.month("creation_date").alias("month")).agg(
-            ROWS.alias("asked"), F.sum("label").alias("answered")
+            F.count("*").alias("asked"), F.sum("label").alias("answered")
         ),
         "calendar",
     )
@@ -111,7 +109,7 @@ def analyse(questions: DataFrame, answers: DataFrame, tags: DataFrame) -> dict[s
         with_tags(labelled, tags)
         .groupBy("tag")
         .agg(
-            ROWS.alias("all"),
+            F.count("*").alias("all"),
             F.sum("label").alias("answered"),
             F.sum(1 - F.col("label")).alias("unanswered"),
             F.sum("score").alias("score_sum"),

@@ -21,6 +21,11 @@ def write_result(
     path = f"{base_path.rstrip('/')}/{name}" + (".csv" if file_format == "csv" else "")
     writer = (df.coalesce(1) if single_file else df).write.mode(mode)
     if file_format == "csv":
-        writer = writer.option("header", header).option("escape", '"')
+        writer = (
+            writer.option("header", header)
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+        )
     writer.format(file_format).save(path)
     return path
