@@ -6,7 +6,7 @@ expression linear in the number of steps, however often the optimizer inlines it
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,13 +30,13 @@ SPECIAL_STEMS = {
 UNCHANGED = "sky news howe atlas cosmos bias andes".split()
 UNCHANGED_AFTER_PLURAL = "inning outing canning herring earring proceed exceed succeed".split()
 
-# Suffix -> replacement, by step. A suffix may start with a lookbehind.
+# Suffix -> replacement, by step. Longest match wins.
 STEP_2 = {
     "tional": "tion", "enci": "ence", "anci": "ance", "abli": "able", "entli": "ent",
     "izer": "ize", "ization": "ize", "ational": "ate", "ation": "ate", "ator": "ate",
     "alism": "al", "aliti": "al", "alli": "al", "fulness": "ful", "ousli": "ous", "ousness": "ous",
-    "iveness": "ive", "iviti": "ive", "biliti": "ble", "bli": "ble", "(?<=l)ogi": "og",
-    "fulli": "ful", "lessli": "less", "(?<=[cdeghkmnrt])li": "",
+    "iveness": "ive", "iviti": "ive", "biliti": "ble", "bli": "ble", "ogi": "og",
+    "fulli": "ful", "lessli": "less", "li": "",
 }
 STEP_3 = {
     "tional": "tion", "ational": "ate", "alize": "al", "icate": "ic", "iciti": "ic", "ical": "ic",
@@ -44,8 +44,10 @@ STEP_3 = {
 }
 STEP_4 = [
     "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ism",
-    "ate", "iti", "ous", "ive", "ize", "(?<=[st])ion",
+    "ate", "iti", "ous", "ive", "ize", "ion",
 ]
+# These suffixes count only after one of the given letters.
+LETTERS_BEFORE = {"ogi": "l", "li": "cdeghkmnrt", "ion": "st"}
 
 VOWEL, OTHER = "[aeiouy]", "[^aeiouy]"
 # The first region starts after the first vowel and non-vowel, or after one of three fixed beginnings.
@@ -68,22 +70,29 @@ def _lookup(table: dict[str, str], key: Column) -> Column:
     return F.try_element_at(F.create_map(*literals), key)
 
 
-def _plain(suffixes: list[str]) -> list[str]:
-    return [suffix.rsplit(")", 1)[-1] for suffix in suffixes]
-
-
 def _on_suffix(
-    s: Column, suffixes: list[str], body: Callable[[Column, Column], Column]
+    s: Column, suffixes: Iterable[str], body: Callable[[Column, Column], Column]
 ) -> Column:
     """`body` of the longest of `suffixes` that the word ends with (or an empty one) and what stands before it."""
-    found = F.regexp_extract(s, f"(?:{'|'.join(suffixes)})$", 0)
-    return _bind(found, lambda suffix: body(suffix, _without_last(s, F.length(suffix))))
+    found = None
+    for suffix in sorted(suffixes, key=len, reverse=True):
+        hit = s.endswith(suffix)
+        if suffix in LETTERS_BEFORE:
+            hit = hit & s.rlike(f"[{LETTERS_BEFORE[suffix]}]{suffix}$")
+        found = F.when(hit, suffix) if found is None else found.when(hit, suffix)
+    return _bind(found.otherwise(""), lambda suffix: body(suffix, _without_last(s, F.length(suffix))))
 
 
 def _prepare(word: Column) -> Column:
     """Straight apostrophes, none in front, and a capital Y where y is a consonant."""
-    bare = F.regexp_replace(F.regexp_replace(word, "[‘’‛]", "'"), "^'", "")
-    return F.regexp_replace(F.regexp_replace(bare, "^y", "Y"), f"({VOWEL})y", "$1Y")
+    bare = F.regexp_replace(F.translate(word, "‘’‛", "'''"), "^'", "")
+    marked = F.regexp_replace(F.regexp_replace(bare, "^y", "Y"), f"({VOWEL})y", "$1Y")
+    return F.when(bare.contains("y"), marked).otherwise(bare)
+
+
+def _possessive(s: Column) -> Column:
+    cut = F.when(s.endswith("'s'"), 3).when(s.endswith("'s"), 2).when(s.endswith("'"), 1).otherwise(0)
+    return _without_last(s, cut)
 
 
 def _region_start(s: Column, pattern: str) -> Column:
@@ -94,8 +103,9 @@ def _region_start(s: Column, pattern: str) -> Column:
 
 def _plural(s: Column) -> Column:
     return (
-        F.when(s.endswith("sses"), _without_last(s, 2))
-        .when(s.rlike("ie[ds]$"), _without_last(s, F.when(F.length(s) > 4, 2).otherwise(1)))
+        F.when(s.endswith("ied") | s.endswith("ies"), _without_last(s, F.when(F.length(s) > 4, 2).otherwise(1)))
+        .when(~s.endswith("s"), s)
+        .when(s.endswith("sses"), _without_last(s, 2))
         .when(s.rlike(f"{VOWEL}.*[^us]s$") & s.rlike(f"{VOWEL}.+s$"), _without_last(s, 1))
         .otherwise(s)
     )
@@ -124,20 +134,22 @@ def _past_and_progressive(state: Column) -> Column:
 
 
 def _final_y(state: Column) -> Column:
-    return F.regexp_replace(state["s"], f"(?<=.{OTHER})[yY]$", "i")
+    s = state["s"]
+    return F.when(s.rlike(f".{OTHER}[yY]$"), F.concat(_without_last(s, 1), F.lit("i"))).otherwise(s)
 
 
-def _derivational(table: dict[str, str], second_region: list[str]) -> Callable[[Column], Column]:
-    """Replace the longest suffix of `table` if it lies in the first region, or the second for some."""
-    replacements = dict(zip(_plain(list(table)), table.values(), strict=True))
+def _derivational(
+    replacements: dict[str, str], second_region: Iterable[str] = ()
+) -> Callable[[Column], Column]:
+    """Replace the longest matching suffix if it lies in the first region, or the second for some."""
 
     def step(state: Column) -> Column:
         def body(suffix: Column, base: Column) -> Column:
-            start = F.when(suffix.isin(second_region), state["r2"]).otherwise(state["r1"])
+            start = F.when(suffix.isin(list(second_region)), state["r2"]).otherwise(state["r1"])
             inside = (suffix != "") & (F.length(base) >= start)
             return F.when(inside, F.concat(base, _lookup(replacements, suffix))).otherwise(state["s"])
 
-        return _on_suffix(state["s"], list(table), body)
+        return _on_suffix(state["s"], replacements, body)
 
     return step
 
@@ -167,9 +179,9 @@ def _suffix_steps(marked: Column, plural: Column) -> Column:
     for step in (
         _past_and_progressive,
         _final_y,
-        _derivational(STEP_2, []),
+        _derivational(STEP_2),
         _derivational(STEP_3, ["ative"]),
-        _derivational(dict.fromkeys(STEP_4, ""), _plain(STEP_4)),
+        _derivational(dict.fromkeys(STEP_4, ""), STEP_4),
         _final_e_and_l,
     ):
         state = _apply(state, step)
@@ -184,9 +196,8 @@ def english_stem(word: Column) -> Column:
     """
 
     def stem(marked: Column) -> Column:
-        possessive = F.regexp_replace(marked, "(?:'s'|'s|')$", "")
         return _bind(
-            _bind(possessive, _plural),
+            _bind(_bind(marked, _possessive), _plural),
             lambda plural: F.when(plural.isin(UNCHANGED_AFTER_PLURAL), plural).otherwise(
                 _suffix_steps(marked, plural)
             ),

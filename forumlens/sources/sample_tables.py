@@ -8,8 +8,19 @@ from pyspark.sql import functions as F
 from forumlens.session import spread
 
 
+# The columns used here. A declared schema saves the job that would infer one.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_returnflag string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_brand string",
+    "documents": "doc_id bigint, text string, lang string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, html string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def posts(spark: SparkSession, folder: str) -> DataFrame:
