@@ -57,6 +57,11 @@ PAGES = """questions as (
   from pages)"""
 STRIPPED = "regexp_replace(lower(body), '<.*?>', '', 'g')"
 
+PAGE_CSV = f"""with {PAGES}
+select cast(page_id as integer) id, cast(null as integer) owner_user_id, timestamp '2008-08-31 23:57:07' creation_date,
+       cast(null as timestamp) closed_date, cast(length(body) as integer) score, title, body
+from questions"""
+
 CONFUSION = """confusion as (
   select quality as label, 1 - toxic as prediction, count(*) n from labels group by 1, 2)"""
 CLASSES = f"""with {CONFUSION}, classes as (select label as class from confusion union select prediction from confusion),
@@ -173,10 +178,8 @@ select word, cast(sum(n) as bigint) total_count, count(*) doc_count from terms g
 select round(sum(support * 2.0 * correct / (support + predicted)) / sum(support), 6) weighted_f1 from report""",
     "balanced_accuracy": f"""{CLASSES}
 select round(avg(correct / support), 6) balanced_accuracy from report where support > 0""",
-    "csv_round_trip": f"""with {PAGES}
-select cast(page_id as integer) id, cast(null as integer) owner_user_id, timestamp '2008-08-31 23:57:07' creation_date,
-       cast(null as timestamp) closed_date, cast(length(body) as integer) score, title, body
-from questions""",
+    "csv_round_trip": PAGE_CSV,
+    "csv_split_scan": PAGE_CSV,
     "csv_to_parquet": f"""with {POSTS}
 select cast(id as integer) id, cast(owner_user_id as integer) owner_user_id, creation_date, score from posts""",
 }

@@ -288,8 +288,8 @@ def _write_forum_csv(spark: SparkSession, questions: DataFrame) -> str:
     )
 
 
-def csv_round_trip(spark, folder):
-    """Pages written as question CSV, with their line breaks and quotes, and read back by the declared schema."""
+def _page_csv(spark: SparkSession, folder: str) -> str:
+    """Pages written as question CSV, with their line breaks and quotes."""
     questions = sample.pages(spark, folder).select(
         F.col("page_id").alias("id"),
         F.lit(None).cast("int").alias("owner_user_id"),
@@ -299,8 +299,15 @@ def csv_round_trip(spark, folder):
         "title",
         "body",
     )
-    path = _write_forum_csv(spark, questions)
-    return forum_csv.load_table(spark, path, schemas.QUESTIONS).rows
+    return _write_forum_csv(spark, questions)
+
+
+def csv_round_trip(spark, folder):
+    return forum_csv.load_table(spark, _page_csv(spark, folder), schemas.QUESTIONS).rows
+
+
+def csv_split_scan(spark, folder):
+    return forum_csv.load_table(spark, _page_csv(spark, folder), schemas.QUESTIONS, split_files=True).rows
 
 
 def csv_to_parquet(spark, folder):
@@ -402,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "weighted_f1": weighted_f1,
     "balanced_accuracy": balanced_accuracy,
     "csv_round_trip": csv_round_trip,
+    "csv_split_scan": csv_split_scan,
     "csv_to_parquet": csv_to_parquet,
     "tag_model_metrics": tag_model_metrics,
     "top3_tags": top3_tags,

@@ -6,10 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from forumlens.functions.dates import parse_date
 from forumlens.sources.schemas import DATE_COLUMNS, MODEL_NAMES
+from forumlens.sources.split_csv import is_header, read_records
 
 RAW_RECORD = "raw_record"
 
@@ -20,6 +21,10 @@ class ForumTable:
     rejects: DataFrame
 
 
+def with_raw_record(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(RAW_RECORD, StringType())])
+
+
 def scan_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
     """Multi-line CSV with a header and doubled quotes. A field that does not fit its type is null."""
     return (
@@ -28,11 +33,28 @@ def scan_csv(spark: SparkSession, path: str | list[str], schema: StructType) ->
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", RAW_RECORD)
-        .schema(schema.add(RAW_RECORD, StringType()) if RAW_RECORD not in schema.names else schema)
+        .schema(with_raw_record(schema))
         .csv(path)
     )
 
 
+def scan_csv_split(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
+    """The rows of `scan_csv` without its one task per file."""
+    options = {
+        "escape": '"',
+        "multiLine": "true",
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": RAW_RECORD,
+    }
+    ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in with_raw_record(schema))
+    return (
+        read_records(spark, path)
+        .filter(~is_header() & (F.col("text") != ""))
+        .select(F.from_csv("text", ddl, options).alias("row"))
+        .select("row.*")
+    )
+
+
 def to_model(raw: DataFrame, schema: StructType) -> ForumTable:
     """Split off the rows without a key and give the others their model names and date type."""
     keys = [field.name for field in schema.fields if not field.nullable]
@@ -40,7 +62,6 @@ def to_model(raw: DataFrame, schema: StructType) -> ForumTable:
     columns = [
         (parse_date(F.col(name)) if name in DATE_COLUMNS else F.col(name)).alias(MODEL_NAMES[name])
         for name in schema.names
-        if name != RAW_RECORD
     ]
     missing = F.concat_ws(",", *(F.when(F.col(k).isNull(), F.lit(MODEL_NAMES[k])) for k in keys))
     return ForumTable(
@@ -49,8 +70,12 @@ def to_model(raw: DataFrame, schema: StructType) -> ForumTable:
     )
 
 
-def load_table(spark: SparkSession, path: str | list[str], schema: StructType) -> ForumTable:
-    return to_model(scan_csv(spark, path, schema), schema)
+def load_table(
+    spark: SparkSession, path: str | list[str], schema: StructType, *, split_files: bool = False
+) -> ForumTable:
+    """`split_files` reads every file with many tasks; it needs quotes inside fields to be doubled."""
+    scan = scan_csv_split if split_files else scan_csv
+    return to_model(scan(spark, path, schema), schema)
 
 
 def convert_to_parquet(table: ForumTable, rows_path: str, rejects_path: str, partitions: int, *keys: str) -> None:

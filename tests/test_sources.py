@@ -1,4 +1,6 @@
+import csv
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,3 +96,38 @@ def test_csv_sink(spark, tmp_path):
         write_result(df, str(tmp_path), "report", file_format="csv")
     with pytest.raises(ValueError):
         write_result(df, str(tmp_path), "other", file_format="orc")
+
+
+@pytest.mark.parametrize("split_bytes", ["134217728", "300", "61"])
+def test_split_scan_equals_the_plain_scan(spark, tmp_path, split_bytes):
+    chance = random.Random(7)
+    parts = ["a", '"', "\n", ",", "x y", "\r\n", "é", ""]
+    for number, line_end in enumerate(["\n", "\r\n"]):
+        with open(tmp_path / f"q{number}.csv", "w", newline="") as file:
+            writer = csv.writer(file, lineterminator=line_end)
+            writer.writerow(QUESTIONS.names)
+            for i in range(120):
+                body = "".join(chance.choice(parts) for _ in range(chance.choice([0, 3, 40, 200])))
+                title = chance.choice(["", "t", '"t"', "a\nb"])
+                writer.writerow([chance.choice([i, i, "x"]), chance.choice([1, "NA", ""]), "2009-01-01T00:00:00Z", "NA", 3, title, body])
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        plain = load_table(spark, str(tmp_path), QUESTIONS)
+        split = load_table(spark, str(tmp_path), QUESTIONS, split_files=True)
+        rows = lambda df: sorted(map(str, df.collect()))
+        assert rows(split.rows) == rows(plain.rows)
+        assert rows(split.rejects.drop("raw_record")) == rows(plain.rejects.drop("raw_record"))
+        assert split.rows.count() + split.rejects.count() == 240
+    finally:
+        for key, value in keep.items():
+            spark.conf.set(key, value)
+
+
+def test_split_scan_of_the_fixture(spark, folder):
+    for name, schema in (("questions", QUESTIONS), ("answers", ANSWERS), ("tags", TAGS)):
+        plain = load_table(spark, str(folder / f"{name}.csv"), schema)
+        split = load_table(spark, str(folder / f"{name}.csv"), schema, split_files=True)
+        assert sorted(map(str, split.rows.collect())) == sorted(map(str, plain.rows.collect()))
+        assert sorted(map(str, split.rejects.collect())) == sorted(map(str, plain.rejects.collect()))
