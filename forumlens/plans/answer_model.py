@@ -63,12 +63,17 @@ def balanced_questions(questions: DataFrame, answers: DataFrame) -> DataFrame:
     return balance_classes(labelled, falling_score(), F.col("id").cast("bigint")).select("id", "label")
 
 
+def training_rows(questions: DataFrame, answers: DataFrame, **cleaning) -> DataFrame:
+    """One row per chosen question: id, words, label."""
+    balanced = stored(balanced_questions(questions, answers), "balanced")
+    texts = questions.select("id", "title", "body").join(balanced, "id", "left_semi")
+    return question_words(texts, **cleaning).join(balanced, "id")
+
+
 def train_answer_model(
     questions: DataFrame, answers: DataFrame, settings: Settings = SETTINGS, **cleaning
 ) -> AnswerModel:
-    balanced = stored(balanced_questions(questions, answers), "balanced")
-    texts = questions.select("id", "title", "body").join(balanced, "id", "left_semi")
-    rows = stored(question_words(texts, **cleaning).join(balanced, "id"), "answer-words")
+    rows = stored(training_rows(questions, answers, **cleaning), "answer-words")
     prepared = prepare(rows, settings, index_tags=False)
     class_sizes(prepared.train)
     return AnswerModel(prepared, estimator(settings).fit(prepared.train))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from forumlens.functions.stopwords import ENGLISH_STOPWORDS
 from forumlens.functions.text import PUNCTUATION
+from forumlens.plans.stem_sql import stem_ctes
 
 
 def _quoted(text: str) -> str:
@@ -73,8 +74,23 @@ report as (
   from classes)"""
 
 
-def _hash_number(first_digit: int) -> str:
-    return f"cast(concat('0x', substr(md5(concat('100:', doc_id)), {first_digit}, 8)) as bigint)"
+def _hash_number(first_digit: int, id_column: str = "doc_id") -> str:
+    return f"cast(concat('0x', substr(md5(concat('100:', {id_column})), {first_digit}, 8)) as bigint)"
+
+
+def _is_train(id_column: str) -> str:
+    return f"cast({_hash_number(1, id_column)} % 100 < 70 as integer)"
+
+
+def _stemmed(source: str, id_column: str, words: str) -> str:
+    """Table expressions that end in joined(id, text): the stems of each row's words in order."""
+    return f"""cleaned as (select {id_column}, {words} words from {source}),
+placed as (select {id_column}, unnest(words) word, generate_subscripts(words, 1) place from cleaned),
+vocabulary as (select distinct word from placed),
+{stem_ctes('vocabulary')},
+joined as (
+  select {id_column}, string_agg(stem, ' ' order by place) as text
+  from placed join stems using (word) group by 1)"""
 
 
 def _tag_counts(source: str) -> str:
@@ -156,7 +172,7 @@ union all
   select doc_id, quality, row_number() over (partition by quality order by doc_id) rn from labels)
 select doc_id, quality from numbered
 where rn <= (select min(n) from (select count(*) n from labels group by quality))""",
-    "hash_split": f"select doc_id, cast({_hash_number(1)} % 100 < 70 as integer) is_train from documents",
+    "hash_split": f"select doc_id, {_is_train('doc_id')} is_train from documents",
     "hash_folds": f"select doc_id, cast({_hash_number(9)} % 5 as integer) fold from documents",
     "strip_html": f"with {PAGES} select page_id, {STRIPPED} body from questions",
     "strip_punctuation": f"select doc_id, translate(text, {PUNCT}, '') as text from documents",
@@ -166,6 +182,27 @@ where rn <= (select min(n) from (select count(*) n from labels group by quality)
 select doc_id, word, n from terms anti join {STOPWORDS} stopwords(stopword) on word = stopword""",
     "cleaned_pages": f"""with {PAGES}
 select page_id, array_to_string(list_concat({_clean('lower(title)')}, {_clean(STRIPPED)}), ' ') as text from questions""",
+    "clean_corpus": f"""with {PAGES},
+{_stemmed('questions', 'page_id', f"list_concat({_clean('lower(title)')}, {_clean(STRIPPED)})")}
+select page_id, coalesce(text, '') as text from questions left join joined using (page_id)""",
+    "stem_vocabulary": f"""with cleaned as (
+  select unnest({_clean("regexp_replace(lower(text), '<.*?>', '', 'g')")}) word from documents),
+vocabulary as (select word, count(*) total_count from cleaned group by 1),
+{stem_ctes('vocabulary')}
+select word, total_count, stem from vocabulary join stems using (word)""",
+    "tag_training_set": f"""with chosen as (
+  select doc_id id, lang tag, text body from documents
+  where n_chars >= 10 and lang in (
+    select lang from documents where n_chars >= 10 group by 1 order by count(*) desc, lang limit 10)),
+{_stemmed('chosen', 'id', _clean(STRIPPED))}
+select id, tag, {_is_train('id')} is_train, coalesce(joined.text, '') as text from chosen left join joined using (id)""",
+    "answer_training_set": f"""with rated as (
+  select doc_id id, text body, n_chars score, cast(quality as integer) as label from documents join labels using (doc_id)),
+numbered as (select *, row_number() over (partition by label order by score desc, id) place from rated),
+chosen as (
+  select * from numbered where place <= (select min(n) from (select count(*) n from rated group by label))),
+{_stemmed('chosen', 'id', _clean(STRIPPED))}
+select id, label, {_is_train('id')} is_train, coalesce(joined.text, '') as text from chosen left join joined using (id)""",
     "page_tag": f"with {PAGES} select page_id, tag from questions",
     "vocabulary": f"""with {TERMS}
 select word, cast(sum(n) as bigint) total_count, count(*) doc_count from terms group by 1""",

@@ -330,6 +330,26 @@ def csv_to_parquet(spark, folder):
 # Models
 
 
+def _with_side(rows: DataFrame, label: str) -> DataFrame:
+    return rows.select(
+        "id", label, splitting.is_train("id").cast("int").alias("is_train"), F.array_join("words", " ").alias("text")
+    )
+
+
+def tag_training_set(spark, folder):
+    """All steps of the tag job up to the features, with the side of the split."""
+    rows = tag_model.training_rows(sample.document_questions(spark, folder), sample.document_tags(spark, folder))
+    return _with_side(rows, "tag")
+
+
+def answer_training_set(spark, folder):
+    """All steps of the answer job up to the features, with the side of the split."""
+    rows = answer_model.training_rows(
+        sample.labelled_questions(spark, folder), sample.quality_answers(spark, folder)
+    )
+    return _with_side(rows, "label")
+
+
 def _tag_model(spark: SparkSession, folder: str) -> tag_model.TagModel:
     return tag_model.train_tag_model(sample.document_questions(spark, folder), sample.document_tags(spark, folder))
 
@@ -411,6 +431,8 @@ QUERIES: dict[str, Query] = {
     "csv_round_trip": csv_round_trip,
     "csv_split_scan": csv_split_scan,
     "csv_to_parquet": csv_to_parquet,
+    "tag_training_set": tag_training_set,
+    "answer_training_set": answer_training_set,
     "tag_model_metrics": tag_model_metrics,
     "top3_tags": top3_tags,
     "tag_cv_grid": tag_cv_grid,

@@ -86,10 +86,20 @@ def tagged_questions(
     return keep_tags(tagged, wanted)
 
 
-def training_rows(questions: DataFrame, kept: DataFrame, **cleaning) -> DataFrame:
-    """One row per question and tag with the cleaned words; a text is cleaned once, not once per tag."""
-    texts = questions.select("id", "title", "body").join(kept.select("id").distinct(), "id", "left_semi")
-    return question_words(texts, **cleaning).join(kept, "id")
+def training_rows(
+    questions: DataFrame,
+    tags: DataFrame,
+    score_threshold: int = 10,
+    top_n: int = 10,
+    at_least: int | None = None,
+    **cleaning,
+) -> DataFrame:
+    """One row per question and tag: id, words, tag. A text is cleaned once, not once per tag,
+    and only texts that reach the score leave the scan."""
+    kept = stored(tagged_questions(questions, tags, score_threshold, top_n, at_least), "tagged")
+    texts = score_filter(questions, score_threshold).select("id", "title", "body")
+    wanted = texts.join(kept.select("id").distinct(), "id", "left_semi")
+    return question_words(wanted, **cleaning).join(kept, "id")
 
 
 def train_tag_model(
@@ -101,7 +111,6 @@ def train_tag_model(
     at_least: int | None = None,
     **cleaning,
 ) -> TagModel:
-    kept = stored(tagged_questions(questions, tags, score_threshold, top_n, at_least), "tagged")
-    rows = stored(training_rows(questions, kept, **cleaning), "tag-words")
+    rows = stored(training_rows(questions, tags, score_threshold, top_n, at_least, **cleaning), "tag-words")
     prepared = prepare(rows, settings, index_tags=True)
     return TagModel(prepared, estimator(settings).fit(prepared.train))
