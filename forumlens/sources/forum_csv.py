@@ -78,11 +78,14 @@ def load_table(
     return to_model(scan(spark, path, schema), schema)
 
 
-def convert_to_parquet(table: ForumTable, rows_path: str, rejects_path: str, partitions: int, *keys: str) -> None:
-    """Store a CSV table as Parquet once, in `partitions` files of even size.
+def convert_to_parquet(
+    table: ForumTable, rows_path: str, rejects_path: str, partitions: int | None = None, *keys: str
+) -> None:
+    """Store a CSV table as Parquet once, in `partitions` files of even size where that is given.
 
     A multi-line CSV file is one scan task whatever its size; the stored copy splits,
     prunes columns and takes filters. `keys` should identify a row, so that no file is hot.
     """
-    table.rows.repartition(partitions, *keys).write.mode("errorifexists").parquet(rows_path)
+    rows = table.rows if partitions is None else table.rows.repartition(partitions, *keys)
+    rows.write.mode("errorifexists").parquet(rows_path)
     table.rejects.write.mode("errorifexists").parquet(rejects_path)

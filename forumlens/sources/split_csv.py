@@ -76,9 +76,12 @@ def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     cut = (F.col("record") == 0) | ((F.col("record") == F.col("last")) & (F.col("ends_open") == 1))
     pieces = stored(pieces.select(*SPLIT, "record", "text", cut.alias("cut")), "csv-records", "cut")
     in_file = Window.partitionBy("file").orderBy("split", "record")
+    chains = pieces.filter("cut").select(
+        *SPLIT, "record", F.sum((F.col("record") > 0).cast("int")).over(in_file).alias("chain")
+    )
     stitched = (
         pieces.filter("cut")
-        .withColumn("chain", F.sum((F.col("record") > 0).cast("int")).over(in_file))
+        .join(chains, [*SPLIT, "record"])
         .groupBy("file", "chain")
         .agg(
             F.min(F.struct("split", "record")).alias("at"),
