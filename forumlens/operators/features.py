@@ -35,12 +35,14 @@ def clean_corpus(questions: DataFrame, **options) -> DataFrame:
     return question_words(questions, **options).select("id", F.array_join("words", " ").alias("text"))
 
 
-def feature_stages(num_features: int = 1000, index_tags: bool = True) -> Pipeline:
-    """words -> features, and tag -> label where asked for. A tag unseen in training is skipped."""
-    stages = [
-        HashingTF(inputCol="words", outputCol="term_vector", numFeatures=num_features),
-        IDF(inputCol="term_vector", outputCol="features", minDocFreq=0),
-    ]
+def term_hashing(num_features: int = 1000) -> HashingTF:
+    """words -> term_vector. Nothing is fitted, so it can run before the split."""
+    return HashingTF(inputCol="words", outputCol="term_vector", numFeatures=num_features)
+
+
+def fitted_stages(index_tags: bool = True) -> Pipeline:
+    """term_vector -> features, and tag -> label where asked for. A tag unseen in training is skipped."""
+    stages = [IDF(inputCol="term_vector", outputCol="features", minDocFreq=0)]
     if index_tags:
         stages.append(
             StringIndexer(

@@ -11,8 +11,23 @@ from forumlens.session import stored
 
 
 def stem_vocabulary(words: DataFrame) -> DataFrame:
-    """Add `stem` to a table with a column `word`."""
-    return words.withColumn("stem", english_stem(F.col("word")))
+    """Add `stem` to a table with a row for each `word`.
+
+    The rows are few bytes and much work, so they keep the full number of shuffle partitions,
+    which the adaptive merge of small ones would cut.
+    """
+    partitions = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return words.repartition(partitions, "word").withColumn("stem", english_stem(F.col("word")))
+
+
+def count_words(df: DataFrame, words: str) -> DataFrame:
+    """Vocabulary of an array column. The outer explode spares a size filter that would clean the text twice."""
+    return (
+        df.select(F.explode_outer(words).alias("word"))
+        .filter("word is not null")
+        .groupBy("word")
+        .agg(F.count("*").alias("total_count"))
+    )
 
 
 def stem_words(df: DataFrame, id_column: str, words: str) -> DataFrame:
@@ -21,8 +36,7 @@ def stem_words(df: DataFrame, id_column: str, words: str) -> DataFrame:
     A group on the way back is one text, which was a single row before.
     """
     tokens = df.select(id_column, F.posexplode_outer(words).alias("pos", "word"))
-    counted = tokens.filter("word is not null").groupBy("word").agg(F.count("*").alias("total_count"))
-    lexicon = stored(stem_vocabulary(counted), "stems")
+    lexicon = stored(stem_vocabulary(count_words(df, words)), "stems")
     stemmed = skew_safe_lookup(tokens, lexicon, "word", "total_count", F.struct(id_column, "pos"), how="left")
     ordered = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "stem"))))
     return (

@@ -73,7 +73,6 @@ def training_rows(questions: DataFrame, answers: DataFrame, **cleaning) -> DataF
 def train_answer_model(
     questions: DataFrame, answers: DataFrame, settings: Settings = SETTINGS, **cleaning
 ) -> AnswerModel:
-    rows = stored(training_rows(questions, answers, **cleaning), "answer-words")
-    prepared = prepare(rows, settings, index_tags=False)
+    prepared = prepare(training_rows(questions, answers, **cleaning), settings, index_tags=False)
     class_sizes(prepared.train)
     return AnswerModel(prepared, estimator(settings).fit(prepared.train))

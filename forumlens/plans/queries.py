@@ -234,10 +234,8 @@ def vocabulary(spark, folder):
 
 
 def stem_vocabulary(spark, folder):
-    words = sample.documents(spark, folder).select(
-        F.explode(clean_words(F.col("text"), html=True)).alias("word")
-    )
-    return stemming.stem_vocabulary(words.groupBy("word").agg(F.count("*").alias("total_count")))
+    words = sample.documents(spark, folder).select(clean_words(F.col("text"), html=True).alias("words"))
+    return stemming.stem_vocabulary(stemming.count_words(words, "words"))
 
 
 def idf(spark, folder):

@@ -111,6 +111,6 @@ def train_tag_model(
     at_least: int | None = None,
     **cleaning,
 ) -> TagModel:
-    rows = stored(training_rows(questions, tags, score_threshold, top_n, at_least, **cleaning), "tag-words")
+    rows = training_rows(questions, tags, score_threshold, top_n, at_least, **cleaning)
     prepared = prepare(rows, settings, index_tags=True)
     return TagModel(prepared, estimator(settings).fit(prepared.train))

@@ -11,8 +11,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forumlens.operators.features import feature_stages
-from forumlens.operators.splitting import fold, hash_split
+from forumlens.operators.features import fitted_stages, term_hashing
+from forumlens.operators.splitting import fold, is_train
 from forumlens.session import stored
 
 FOLD = "fold"
@@ -46,16 +46,24 @@ class Prepared:
 
 
 def prepare(rows: DataFrame, settings: Settings, index_tags: bool) -> Prepared:
-    """Split by id first and fit the stages on the training side only.
+    """Hash the words of `rows`, split by id, and fit the other stages on the training side only.
 
-    The features are written once, so training does not clean the text again.
+    The term vectors are stored in place of the words and the features after them, so the text
+    is cleaned once and no iteration computes a feature.
     """
-    train, test = hash_split(rows, "id", settings.train_percent, settings.seed)
-    stages = feature_stages(settings.num_features, index_tags).fit(train)
-    keep = ["id", "features", F.col("label").cast("double").alias("label")]
-    train_features = stored(stages.transform(train).select(*keep), "train")
-    test_features = stored(stages.transform(test).select(*keep), "test")
-    return Prepared(stages, train_features, test_features, test.count() - test_features.count())
+    hashing = term_hashing(settings.num_features)
+    side = is_train("id", settings.train_percent, settings.seed)
+    hashed = stored(hashing.transform(rows).drop("words").withColumn("is_train", side), "terms", "is_train")
+    fitted = fitted_stages(index_tags).fit(hashed.filter("is_train"))
+    label = F.col("label").cast("double").alias("label")
+    features = stored(fitted.transform(hashed).select("id", "features", label, "is_train"), "features", "is_train")
+    train, test = features.filter("is_train"), features.filter("not is_train")
+    return Prepared(
+        stages=PipelineModel([hashing, *fitted.stages]),
+        train=train,
+        test=test,
+        skipped_rows=hashed.filter("not is_train").count() - test.count(),
+    )
 
 
 def estimator(settings: Settings) -> LogisticRegression:
