@@ -70,26 +70,19 @@ def _lookup(table: dict[str, str], key: Column) -> Column:
     return F.try_element_at(F.create_map(*literals), key)
 
 
-def _longest(s: Column, suffixes: Iterable[str]) -> Column:
-    found = None
-    for suffix in sorted(suffixes, key=len, reverse=True):
-        hit = s.endswith(suffix)
-        if suffix in LETTERS_BEFORE:
-            hit = hit & s.rlike(f"[{LETTERS_BEFORE[suffix]}]{suffix}$")
-        found = F.when(hit, suffix) if found is None else found.when(hit, suffix)
-    return found.otherwise("")
-
-
 def _on_suffix(
     s: Column, suffixes: Iterable[str], body: Callable[[Column, Column], Column]
 ) -> Column:
-    """`body` of the longest of `suffixes` that the word ends with (or an empty one) and what stands before it."""
-    found = None
-    for letter in sorted({suffix[-1] for suffix in suffixes}):
-        ending = [suffix for suffix in suffixes if suffix[-1] == letter]
-        hit, inner = s.endswith(letter), _longest(s, ending)
-        found = F.when(hit, inner) if found is None else found.when(hit, inner)
-    return _bind(found.otherwise(""), lambda suffix: body(suffix, _without_last(s, F.length(suffix))))
+    """`body` of the longest of `suffixes` that the word ends with (or an empty one) and what stands before it.
+
+    The search finds the leftmost start, which is the longest suffix; most words are spared it
+    by their last letter.
+    """
+    last_letters = "".join(sorted({suffix[-1] for suffix in suffixes}))
+    guarded = [f"(?<=[{LETTERS_BEFORE[x]}]){x}" if x in LETTERS_BEFORE else x for x in suffixes]
+    longest = F.regexp_extract(s, f"(?:{'|'.join(guarded)})$", 0)
+    found = F.when(s.rlike(f"[{last_letters}]$"), longest).otherwise("")
+    return _bind(found, lambda suffix: body(suffix, _without_last(s, F.length(suffix))))
 
 
 def _prepare(word: Column) -> Column:
