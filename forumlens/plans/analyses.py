@@ -2,6 +2,9 @@
 
 Every function takes DataFrames in the model's names: questions (id, creation_date, score),
 answers (parent_id), tags (id, tag; many rows per question).
+
+Tag rows are joined to a scanned or stored table, never to the result of another join on the
+same key: the adaptive skew join can split a hot question only in a join of two shuffled inputs.
 """
 
 from __future__ import annotations
@@ -45,13 +48,15 @@ def tag_frequency(questions: DataFrame, tags: DataFrame, limit: int | None = Non
 def answered_tag_frequency(
     questions: DataFrame, answers: DataFrame, tags: DataFrame, limit: int | None = None
 ) -> DataFrame:
-    return tag_frequency(answered(questions.select("id"), answers), tags, limit)
+    ids = stored(answered(questions.select("id"), answers), "answered")
+    return tag_frequency(ids, tags, limit)
 
 
 def unanswered_tag_frequency(
     questions: DataFrame, answers: DataFrame, tags: DataFrame, limit: int | None = None
 ) -> DataFrame:
-    return tag_frequency(unanswered(questions.select("id"), answers), tags, limit)
+    ids = stored(unanswered(questions.select("id"), answers), "unanswered")
+    return tag_frequency(ids, tags, limit)
 
 
 def tag_score_sum(questions: DataFrame, tags: DataFrame, limit: int | None = None) -> DataFrame:

@@ -83,7 +83,7 @@ def tagged_questions(
     frequent tags, or for those with `at_least` rows where that is given."""
     tagged = with_tags(score_filter(questions.select("id", "score"), score_threshold), tags).select("id", "tag")
     wanted = top_tags(tagged, top_n) if at_least is None else frequent_tags(tagged, at_least)
-    return keep_tags(tagged, wanted)
+    return keep_tags(tagged, stored(wanted, "wanted-tags"))
 
 
 def training_rows(
@@ -95,8 +95,9 @@ def training_rows(
     **cleaning,
 ) -> DataFrame:
     """One row per question and tag: id, words, tag. A text is cleaned once, not once per tag,
-    and only texts that reach the score leave the scan."""
-    kept = stored(tagged_questions(questions, tags, score_threshold, top_n, at_least), "tagged")
+    and only texts that reach the score leave the scan. A tag row that stands twice trains once,
+    so a question has no more rows than there are wanted tags."""
+    kept = stored(tagged_questions(questions, tags, score_threshold, top_n, at_least).distinct(), "tagged")
     texts = score_filter(questions, score_threshold).select("id", "title", "body")
     wanted = texts.join(kept.select("id").distinct(), "id", "left_semi")
     return question_words(wanted, **cleaning).join(kept, "id")
