@@ -66,8 +66,9 @@ def _without_last(word: Column, n: int | Column) -> Column:
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
-    literals = [F.lit(part) for item in table.items() for part in item]
-    return F.try_element_at(F.create_map(*literals), key)
+    """Value of `key`, or null."""
+    entries = ", ".join(f"'{part}'" for item in table.items() for part in item)
+    return F.try_element_at(F.expr(f"map({entries})"), key)
 
 
 def _on_suffix(
@@ -140,6 +141,14 @@ def _final_y(state: Column) -> Column:
     return F.when(s.rlike(f".{OTHER}[yY]$"), F.concat(_without_last(s, 1), F.lit("i"))).otherwise(s)
 
 
+def _region_of(state: Column, suffix: Column, suffixes: Iterable[str], second_region: Iterable[str]) -> Column:
+    if not second_region:
+        return state["r1"]
+    if set(second_region) == set(suffixes):
+        return state["r2"]
+    return F.when(suffix.isin(list(second_region)), state["r2"]).otherwise(state["r1"])
+
+
 def _derivational(
     replacements: dict[str, str], second_region: Iterable[str] = ()
 ) -> Callable[[Column], Column]:
@@ -147,9 +156,10 @@ def _derivational(
 
     def step(state: Column) -> Column:
         def body(suffix: Column, base: Column) -> Column:
-            start = F.when(suffix.isin(list(second_region)), state["r2"]).otherwise(state["r1"])
+            start = _region_of(state, suffix, replacements, second_region)
             inside = (suffix != "") & (F.length(base) >= start)
-            return F.when(inside, F.concat(base, _lookup(replacements, suffix))).otherwise(state["s"])
+            new = F.concat(base, _lookup(replacements, suffix)) if any(replacements.values()) else base
+            return F.when(inside, new).otherwise(state["s"])
 
         return _on_suffix(state["s"], replacements, body)
 
@@ -206,8 +216,6 @@ def english_stem(word: Column) -> Column:
         )
 
     as_it_is = ~word.rlike("^[\\p{L}'‘’‛]{3," + str(LONGEST_WORD) + "}$") | word.isin(UNCHANGED)
-    return (
-        F.when(as_it_is, word)
-        .when(word.isin(list(SPECIAL_STEMS)), _lookup(SPECIAL_STEMS, word))
-        .otherwise(_bind(_prepare(word), stem))
+    return F.when(as_it_is, word).otherwise(
+        F.coalesce(_lookup(SPECIAL_STEMS, word), _bind(_prepare(word), stem))
     )

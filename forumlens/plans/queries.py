@@ -11,7 +11,7 @@ from forumlens.functions.text import clean_words, is_stopword, split_words, stri
 from forumlens.operators import features, metrics, relations, selection, splitting, stemming, terms
 from forumlens.plans import analyses, answer_model, tag_model
 from forumlens.plans.training import Grid, Settings
-from forumlens.session import scratch_path
+from forumlens.session import scratch_path, stored
 from forumlens.sources import forum_csv, schemas
 from forumlens.sources import sample_tables as sample
 from forumlens.sources.writers import write_result
@@ -111,9 +111,8 @@ def mean_tags_per_post(spark, folder):
 
 def analysis_reports(spark, folder):
     """The small reports of the joint run, in one long table."""
-    reports = analyses.analyse(
-        _posts(spark, folder), sample.replies(spark, folder), sample.post_tags(spark, folder)
-    )
+    tags = stored(sample.post_tags(spark, folder), "post-tags")
+    reports = analyses.analyse(_posts(spark, folder), sample.replies(spark, folder), tags)
     del reports["question_score_tag_count"], reports["mean_tags_per_question"]
     result = None
     for name, df in reports.items():
