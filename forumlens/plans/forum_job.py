@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from forumlens.plans import analyses, answer_model, tag_model
 from forumlens.plans.training import Grid, Settings
 from forumlens.sources.forum_csv import convert_to_parquet, load_table
-from forumlens.sources.schemas import ANSWERS, QUESTIONS, TAGS
+from forumlens.sources.schemas import ANSWERS, QUESTIONS, TAGS, with_wide_ids
 from forumlens.sources.writers import write_result
 
 
@@ -28,6 +28,7 @@ def store_forum(
     store: str,
     *,
     split_files: bool = True,
+    wide_ids: bool = False,
 ) -> Forum:
     """Convert the three CSV tables to Parquet below `store`, rejects apart, and open the copies."""
     tables = {}
@@ -36,7 +37,7 @@ def store_forum(
         ("answers", answers_path, ANSWERS),
         ("tags", tags_path, TAGS),
     ):
-        table = load_table(spark, path, schema, split_files=split_files)
+        table = load_table(spark, path, with_wide_ids(schema) if wide_ids else schema, split_files=split_files)
         convert_to_parquet(table, f"{store}/{name}", f"{store}/{name}_rejects")
         tables[name] = spark.read.schema(table.rows.schema).parquet(f"{store}/{name}")
     return Forum(**tables)

@@ -1,6 +1,6 @@
 """Declared schemas of the three forum tables, as they stand in the CSV files."""
 
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 QUESTIONS = StructType(
     [
@@ -46,3 +46,16 @@ MODEL_NAMES = {
 }
 
 DATE_COLUMNS = ("CreationDate", "ClosedDate")
+
+ID_COLUMNS = ("Id", "OwnerUserId", "ParentId")
+
+
+def with_wide_ids(schema: StructType) -> StructType:
+    """The same table with 64-bit ids, for forums whose ids outgrow the declared 32 bits
+    (a larger id is null under those, and its row a reject)."""
+    return StructType(
+        [
+            StructField(field.name, LongType() if field.name in ID_COLUMNS else field.dataType, field.nullable)
+            for field in schema
+        ]
+    )

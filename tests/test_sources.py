@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forumlens.sources.forum_csv import convert_to_parquet, load_table
-from forumlens.sources.schemas import ANSWERS, QUESTIONS, TAGS
+from forumlens.sources.schemas import ANSWERS, QUESTIONS, TAGS, with_wide_ids
 from forumlens.sources.writers import write_result
 
 QUESTION_CSV = '''Id,OwnerUserId,CreationDate,ClosedDate,Score,Title,Body
@@ -131,3 +131,12 @@ def test_split_scan_of_the_fixture(spark, folder):
         split = load_table(spark, str(folder / f"{name}.csv"), schema, split_files=True)
         assert sorted(map(str, split.rows.collect())) == sorted(map(str, plain.rows.collect()))
         assert sorted(map(str, split.rejects.collect())) == sorted(map(str, plain.rejects.collect()))
+
+
+@pytest.mark.parametrize("split_files", [False, True])
+def test_ids_beyond_32_bits(spark, tmp_path, split_files):
+    (tmp_path / "tags.csv").write_text("Id,Tag\n5000000000,java\n1,sql\n")
+    declared = load_table(spark, str(tmp_path / "tags.csv"), TAGS, split_files=split_files)
+    assert [r["id"] for r in declared.rows.collect()] == [1] and declared.rejects.count() == 1
+    wide = load_table(spark, str(tmp_path / "tags.csv"), with_wide_ids(TAGS), split_files=split_files)
+    assert sorted(r["id"] for r in wide.rows.collect()) == [1, 5000000000] and wide.rejects.count() == 0
