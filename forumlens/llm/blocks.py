@@ -42,6 +42,13 @@ def from_ipc(data: bytes) -> pa.RecordBatch:
         return reader.read_all().combine_chunks().to_batches(max_chunksize=None)[0]
 
 
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows one by one, since a block is large."""
+    for batch in batches:
+        for i in range(len(batch)):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def pack_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(block, n_bytes, rest, data): the texts of some rows, joined, and all columns and lengths beside."""
     place = docs.columns.index("text")

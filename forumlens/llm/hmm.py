@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forumlens.llm.blocks import from_ipc, packed, to_ipc, unpacked, with_answers
+from forumlens.llm.blocks import from_ipc, packed, rows_of, to_ipc, unpacked, with_answers
 from forumlens.llm.common import drop_columns, fresh, tasks_for
 from forumlens.session import stored
 
@@ -39,7 +39,7 @@ CLASSES = 1 << 15
 ROUNDS = 3
 SEED = 42
 ANCHORS = 128
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 BATCH_TOKENS = 400_000
 #: Distinct words of blocks that meet in one bucket, about.
 BUCKET_WORDS = 1_000_000
@@ -82,13 +82,16 @@ def encode_blocks(docs: DataFrame, training: str, block_tokens: int) -> DataFram
                     tokens += len(row)
                     at += 1
                 train = np.array(flags[begin:at], bool)
-                ids = np.concatenate(rows)
                 lengths = np.array([len(r) for r in rows], np.int32)
-                counts = np.bincount(ids[np.repeat(train, lengths)], minlength=len(number)).astype(np.int64)
                 hashes = word_hashes(list(number))
+                order = np.argsort(class_of(hashes), kind="stable")  # words are numbered by class, so buckets are ranges
+                renumber = np.empty(len(order), np.int32)
+                renumber[order] = np.arange(len(order), dtype=np.int32)
+                ids, hashes = renumber[np.concatenate(rows)], hashes[order]
+                counts = np.bincount(ids[np.repeat(train, lengths)], minlength=len(number)).astype(np.int64)
                 rest = pa.RecordBatch.from_arrays([batch.column(i).slice(begin, at - begin) for i in keep], names=[f"c{i}" for i in keep])
                 values = [first + made, len(number), to_ipc(rest), lengths.tobytes(), train.tobytes(), packed(ids.tobytes())]
-                values += [packed((hashes[:, 1] % np.uint64(CLASSES)).astype(np.uint16).tobytes()), hashes.tobytes(), packed(counts.tobytes())]
+                values += [packed(class_of(hashes).astype(np.uint16).tobytes()), hashes.tobytes(), packed(counts.tobytes())]
                 yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64() if i < 2 else pa.binary()) for i, v in enumerate(values)], names=names)
                 made += 1
 
@@ -97,25 +100,29 @@ def encode_blocks(docs: DataFrame, training: str, block_tokens: int) -> DataFram
     return stored(docs.mapInArrow(run, schema), "encoded")
 
 
-def dealt(hashes: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
-    """(bucket, indices): a bucket has the words of some neighbouring classes."""
-    to = (hashes[:, 1] % np.uint64(CLASSES)).astype(np.int64) * buckets // CLASSES
-    order = np.argsort(to, kind="stable")
-    return [(int(to[some[0]]), some) for some in np.split(order, np.flatnonzero(np.diff(to[order])) + 1) if len(some)]
+def class_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes[:, 1] % np.uint64(CLASSES)).astype(np.int64)
+
+
+def dealt(classes: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    """(bucket, its words), in order: a bucket has the words of some neighbouring classes."""
+    to = classes.astype(np.int64) * buckets // CLASSES
+    edges = [0, *(np.flatnonzero(np.diff(to)) + 1), len(to)]
+    for a, b in zip(edges, edges[1:]):
+        yield int(to[a]), slice(a, b)
 
 
 def count_words(blocks: DataFrame, buckets: int) -> DataFrame:
     """(block, bucket, answer): training counts of the words that a block sent; block -1 has (class, tokens, words)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                hashes = np.frombuffer(row["hashes"], np.uint64).reshape(-1, 2)
-                counts = np.frombuffer(unpacked(row["counts"]), np.int64)
-                for bucket, some in dealt(hashes, buckets):
-                    values = [bucket, row["block"], hashes[some].tobytes(), packed(counts[some].tobytes())]
-                    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=["bucket", "block", "hashes", "counts"])
+        for row in rows_of(batches):
+            hashes = np.frombuffer(row["hashes"], np.uint64).reshape(-1, 2)
+            counts = np.frombuffer(unpacked(row["counts"]), np.int64)
+            for bucket, some in dealt(class_of(hashes), buckets):
+                values = [bucket, row["block"], hashes[some].tobytes(), packed(counts[some].tobytes())]
+                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=["bucket", "block", "hashes", "counts"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         hashes = np.frombuffer(b"".join(frame["hashes"]), np.uint64).reshape(-1, 2)
@@ -130,7 +137,7 @@ def count_words(blocks: DataFrame, buckets: int) -> DataFrame:
         sizes = np.cumsum([len(h) // 16 for h in frame["hashes"]])
         answers = [packed(x.tobytes()) for x in np.split(back, sizes[:-1])]
         known = total > 0
-        kind = (hashes[order[at], 1] % np.uint64(CLASSES)).astype(np.int64)[known]
+        kind = class_of(hashes[order[at]])[known]
         own, place = np.unique(kind, return_inverse=True)
         tokens = np.bincount(place, weights=total[known], minlength=len(own)).astype(np.int64)
         stats = np.stack([own, tokens, np.bincount(place, minlength=len(own))]).astype(np.int64)
@@ -234,9 +241,8 @@ def summed(blocks: DataFrame, tasks: int, work, size: int) -> np.ndarray:
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
-        for batch in batches:
-            for row in batch.to_pylist():
-                total += work(row)
+        for row in rows_of(batches):
+            total += work(row)
         level = TaskContext.get().partitionId() // 64
         data = [packed(total[a:b].astype(np.float32).tobytes()) for a, b in zip(edges, edges[1:])]
         yield pa.RecordBatch.from_arrays([pa.array([level] * PARTS, pa.int64()), pa.array(range(PARTS), pa.int64()), pa.array(data, pa.binary())], names=["level", "part", "data"])
@@ -345,27 +351,22 @@ def score_texts(docs: DataFrame, training: Column, states: int = STATES, rounds:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
-        for batch in batches:
-            for row in batch.to_pylist():
-                lengths, train_flags, ids, classes = read_block(row)
-                counts = np.zeros(len(classes), np.int64)
-                told = {a["bucket"]: a["answer"] for a in row["answers"]}
-                for bucket, some in dealt(np.frombuffer(row["hashes"], np.uint64).reshape(-1, 2), buckets):
-                    counts[some] = np.frombuffer(unpacked(told[bucket]), np.int64)
-                in_class = np.log10((counts + 0.5) / per_class[classes])
-                text = np.repeat(np.arange(len(lengths)), lengths)
-                add_up = lambda x, text=text, n=len(lengths): np.bincount(text, weights=x, minlength=n)
-                scores = add_up(in_class[ids])
-                for some in batches_of(lengths, BATCH_TOKENS):
-                    texts, seen = side_by_side(ids, lengths, some)
-                    _, scale = model.forward(classes[seen].astype(np.int64), texts)
-                    mine = np.bincount(texts.text, weights=np.log10(scale)[texts.place], minlength=len(some))
-                    scores[some[texts.order]] += mine
-                base_scores = add_up(np.log10((counts + 0.5) / base)[ids])
-                known = add_up((counts > 0)[ids]).astype(np.int64)
-                values = [~train_flags, lengths, known, np.full(len(lengths), n_train), base_scores, scores]
-                rest = from_ipc(row["rest"])
-                yield pa.RecordBatch.from_arrays([*rest.columns, *map(pa.array, values)], names=out.names)
-
-    asked = with_answers(blocks.drop("counts", "n_words"), answers.filter("block >= 0"))
+        for row in rows_of(batches):
+            lengths, train_flags, ids, classes = read_block(row)
+            counts = np.concatenate([np.frombuffer(unpacked(a["answer"]), np.int64) for a in row["answers"]])  # by bucket, as the words are
+            text = np.repeat(np.arange(len(lengths)), lengths)
+            add_up = lambda x, text=text, n=len(lengths): np.bincount(text, weights=x, minlength=n)
+            scores = add_up(np.log10((counts + 0.5) / per_class[classes])[ids])
+            for some in batches_of(lengths, BATCH_TOKENS):
+                texts, seen = side_by_side(ids, lengths, some)
+                _, scale = model.forward(classes[seen].astype(np.int64), texts)
+                mine = np.bincount(texts.text, weights=np.log10(scale)[texts.place], minlength=len(some))
+                scores[some[texts.order]] += mine
+            base_scores = add_up(np.log10((counts + 0.5) / base)[ids])
+            known = add_up((counts > 0)[ids]).astype(np.int64)
+            values = [~train_flags, lengths, known, np.full(len(lengths), n_train), base_scores, scores]
+            rest = from_ipc(row["rest"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, *map(pa.array, values)], names=out.names)
+
+    asked = with_answers(blocks.drop("counts", "hashes", "n_words"), answers.filter("block >= 0"))
     return asked.mapInArrow(score, out)
