@@ -11,8 +11,6 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-LONGEST_WORD = 40
-
 # Words with a stem of their own, and words that are left as they are.
 SPECIAL_STEMS = {
     "skis": "ski",
@@ -203,8 +201,8 @@ def _suffix_steps(marked: Column, plural: Column) -> Column:
 def english_stem(word: Column) -> Column:
     """Stem of a lower-case word.
 
-    Words of two letters or fewer, of more than 40, or with anything but letters and
-    apostrophes are their own stem.
+    Words of two characters or fewer are their own stem. All others are stemmed, whatever their
+    length; digits and other marks in them count as non-vowels.
     """
 
     def stem(marked: Column) -> Column:
@@ -215,7 +213,7 @@ def english_stem(word: Column) -> Column:
             ),
         )
 
-    as_it_is = ~word.rlike("^[\\p{L}'‘’‛]{3," + str(LONGEST_WORD) + "}$") | word.isin(UNCHANGED)
+    as_it_is = (F.length(word) < 3) | word.isin(UNCHANGED)
     return F.when(as_it_is, word).otherwise(
         F.coalesce(_lookup(SPECIAL_STEMS, word), _bind(_prepare(word), stem))
     )

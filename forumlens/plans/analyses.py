@@ -153,14 +153,15 @@ def write_analyses(
     *,
     file_format: str = "parquet",
     mode: str = "errorifexists",
+    single_files: bool = False,
 ) -> dict[str, str]:
-    """Write every analysis and return its path. The reports are one file each; the table with
-    one row per question keeps its parts."""
+    """Write every analysis and return its path. With `single_files` the reports, but not the table with
+    one row per question, are one file each: only for as many tags as one task can sort."""
     paths = {}
     for name, df in analyse(questions, answers, tags).items():
         per_question = name == "question_score_tag_count"
         result = df.select("score", "tag_count") if per_question else df
         paths[name] = write_result(
-            result, base_path, name, file_format=file_format, mode=mode, single_file=not per_question
+            result, base_path, name, file_format=file_format, mode=mode, single_file=single_files and not per_question
         )
     return paths

@@ -59,7 +59,7 @@ PAGES = """questions as (
 STRIPPED = "regexp_replace(lower(body), '<.*?>', '', 'g')"
 
 PAGE_CSV = f"""with {PAGES}
-select cast(page_id as integer) id, cast(null as integer) owner_user_id, timestamp '2008-08-31 23:57:07' creation_date,
+select page_id id, cast(null as bigint) owner_user_id, timestamp '2008-08-31 23:57:07' creation_date,
        cast(null as timestamp) closed_date, cast(length(body) as integer) score, title, body
 from questions"""
 
@@ -135,6 +135,9 @@ ORACLES: dict[str, str] = {
     "answered_tag_frequency": _report("answered_tag_frequency"),
     "unanswered_tag_frequency": _report("unanswered_tag_frequency"),
     "unanswered_top20_tags": f"{_report('unanswered_tag_frequency')} order by 2 desc, 1 limit 20",
+    "top20_tags": f"{_report('tag_frequency')} order by 2 desc, 1 limit 20",
+    "answered_top20_tags": f"{_report('answered_tag_frequency')} order by 2 desc, 1 limit 20",
+    "top20_tag_scores": f"{_report('tag_score_sum')} order by 2 desc, 1 limit 20",
     "tag_score_sum": _report("tag_score_sum"),
     "answered_tag_count_histogram": _report("answered_tag_count_histogram"),
     "unanswered_tag_count_histogram": _report("unanswered_tag_count_histogram"),
@@ -147,13 +150,16 @@ from (select id, count(tag) n from posts join post_tags using (id) group by 1)""
     + " union all ".join(
         f""" select '{name}' report, cast({key} as varchar) item, cast("{value}" as bigint) as value from ({query})"""
         for name, (key, value, query) in REPORTS.items()
-    ),
+    )
+    + """ union all select 'question_score_tag_count', cast(id as varchar), count(tag) from posts join post_tags using (id) group by id
+ union all select 'mean_tags_per_question', 'millionths', cast(round(1000000 * avg(n)) as bigint)
+ from (select count(tag) n from posts join post_tags using (id) group by id)""",
     "answered_posts": f"{FORUM} select id, creation_date, score from {ANSWERED}",
     "unanswered_posts": f"{FORUM} select id, creation_date, score from {UNANSWERED}",
     "high_score_post_tags": f"{FORUM} select * from {HIGH}",
     "top_tags": f"{FORUM} select * from {TOP_TAGS}",
     "frequent_tags": f"""{FORUM}
-select tag, count(*) as "count" from {HIGH} group by tag having count(*) >= 900""",
+select tag, count(*) as "count" from {HIGH} group by tag having count(*) >= (select 0.04 * count(*) from {HIGH})""",
     "posts_with_top_tags": f"{FORUM} select * from {HIGH} where tag in (select tag from {TOP_TAGS})",
     "label_answered": f"""{FORUM}
 select id, score, cast(case when parent_id is not null then 1 else 0 end as integer) as label
@@ -218,5 +224,5 @@ select round(avg(correct / support), 6) balanced_accuracy from report where supp
     "csv_round_trip": PAGE_CSV,
     "csv_split_scan": PAGE_CSV,
     "csv_to_parquet": f"""with {POSTS}
-select cast(id as integer) id, cast(owner_user_id as integer) owner_user_id, creation_date, score from posts""",
+select id, owner_user_id, creation_date, score from posts""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,6 +85,20 @@ def unanswered_top20_tags(spark, folder):
     )
 
 
+def top20_tags(spark, folder):
+    return analyses.tag_frequency(_posts(spark, folder), sample.post_tags(spark, folder), limit=20)
+
+
+def answered_top20_tags(spark, folder):
+    return analyses.answered_tag_frequency(
+        _posts(spark, folder), sample.replies(spark, folder), sample.post_tags(spark, folder), limit=20
+    )
+
+
+def top20_tag_scores(spark, folder):
+    return analyses.tag_score_sum(_posts(spark, folder), sample.post_tags(spark, folder), limit=20)
+
+
 def tag_score_sum(spark, folder):
     return analyses.tag_score_sum(_posts(spark, folder), sample.post_tags(spark, folder))
 
@@ -110,10 +125,12 @@ def mean_tags_per_post(spark, folder):
 
 
 def analysis_reports(spark, folder):
-    """The small reports of the joint run, in one long table."""
+    """All reports of the joint run in one long table; the mean in millionths, the tag counts by question id."""
     tags = stored(sample.post_tags(spark, folder), "post-tags")
     reports = analyses.analyse(_posts(spark, folder), sample.replies(spark, folder), tags)
-    del reports["question_score_tag_count"], reports["mean_tags_per_question"]
+    reports["question_score_tag_count"] = reports["question_score_tag_count"].select("id", "tag_count")
+    mean = F.round(F.col("mean_tags") * 1000000).alias("mean_tags")
+    reports["mean_tags_per_question"] = reports["mean_tags_per_question"].select(F.lit("millionths").alias("unit"), mean)
     result = None
     for name, df in reports.items():
         key, value = df.columns
@@ -144,7 +161,9 @@ def top_tags(spark, folder):
 
 
 def frequent_tags(spark, folder):
-    return selection.frequent_tags(_high_score(spark, folder), 900)
+    """Tags that hold a twenty-fifth of the rows or more."""
+    tagged = stored(_high_score(spark, folder), "high-score")
+    return selection.frequent_tags(tagged, math.ceil(tagged.count() / 25))
 
 
 def posts_with_top_tags(spark, folder):
@@ -389,6 +408,9 @@ QUERIES: dict[str, Query] = {
     "answered_tag_frequency": answered_tag_frequency,
     "unanswered_tag_frequency": unanswered_tag_frequency,
     "unanswered_top20_tags": unanswered_top20_tags,
+    "top20_tags": top20_tags,
+    "answered_top20_tags": answered_top20_tags,
+    "top20_tag_scores": top20_tag_scores,
     "tag_score_sum": tag_score_sum,
     "answered_tag_count_histogram": answered_tag_count_histogram,
     "unanswered_tag_count_histogram": unanswered_tag_count_histogram,

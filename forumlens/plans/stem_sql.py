@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
-from forumlens.functions.stemmer import (
-    LETTERS_BEFORE,
-    LONGEST_WORD,
-    SPECIAL_STEMS,
-    STEP_2,
-    STEP_3,
-    STEP_4,
-    UNCHANGED,
-    UNCHANGED_AFTER_PLURAL,
+# Fixed values of the published algorithm, written out here again so that a slip in either place shows.
+SPECIAL_STEMS = dict(
+    zip(
+        "skis skies dying lying tying idly gently ugly early only singly".split(),
+        "ski sky die lie tie idl gentl ugli earli onli singl".split(),
+    )
+)
+UNCHANGED = ["sky", "news", "howe", "atlas", "cosmos", "bias", "andes"]
+UNCHANGED_AFTER_PLURAL = ["inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed"]
+STEP_2 = dict(
+    pair.split(":")
+    for pair in """tional:tion enci:ence anci:ance abli:able entli:ent izer:ize ization:ize ational:ate ation:ate
+    ator:ate alism:al aliti:al alli:al fulness:ful ousli:ous ousness:ous iveness:ive iviti:ive biliti:ble bli:ble
+    ogi:og fulli:ful lessli:less li:""".split()
+)
+STEP_3 = dict(
+    pair.split(":")
+    for pair in "tional:tion ational:ate alize:al icate:ic iciti:ic ical:ic ful: ness: ative:".split()
 )
+STEP_4 = "al ance ence er ic able ible ant ement ment ent ism ate iti ous ive ize ion".split()
+LETTERS_BEFORE = {"ogi": "l", "li": "cdeghkmnrt", "ion": "st"}
 
 SHORT = "(^[aeiouy][^aeiouy]|[^aeiouy][aeiouy][^aeiouywxY])$"
 TO_REGION = "^.*?[aeiouy][^aeiouy]"
@@ -48,7 +59,7 @@ def stem_ctes(words: str) -> str:
          regexp_replace(regexp_replace(regexp_replace(translate(word, '‘’‛', ''''''''), '^''', ''), '^y', 'Y'),
                         '([aeiouy])y', '\\1Y', 'g') w
   from {words}
-  where regexp_matches(word, '^[\\pL''‘’‛]{{3,{LONGEST_WORD}}}$') and word not in {_in(UNCHANGED)}
+  where length(word) >= 3 and word not in {_in(UNCHANGED)}
     and word not in {_in(SPECIAL_STEMS)}),
 region_1 as (
   select *, case when starts_with(w, 'gener') or starts_with(w, 'arsen') then 5 when starts_with(w, 'commun') then 6

@@ -1,11 +1,11 @@
-"""Declared schemas of the three forum tables, as they stand in the CSV files."""
+"""Declared schemas of the three forum tables, as they stand in the CSV files. Ids have 64 bits."""
 
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 QUESTIONS = StructType(
     [
-        StructField("Id", IntegerType(), False),
-        StructField("OwnerUserId", IntegerType(), True),
+        StructField("Id", LongType(), False),
+        StructField("OwnerUserId", LongType(), True),
         StructField("CreationDate", StringType(), True),
         StructField("ClosedDate", StringType(), True),
         StructField("Score", IntegerType(), True),
@@ -16,10 +16,10 @@ QUESTIONS = StructType(
 
 ANSWERS = StructType(
     [
-        StructField("Id", IntegerType(), False),
-        StructField("OwnerUserId", IntegerType(), True),
+        StructField("Id", LongType(), False),
+        StructField("OwnerUserId", LongType(), True),
         StructField("CreationDate", StringType(), True),
-        StructField("ParentId", IntegerType(), False),
+        StructField("ParentId", LongType(), False),
         StructField("Score", IntegerType(), True),
         StructField("Body", StringType(), True),
     ]
@@ -27,7 +27,7 @@ ANSWERS = StructType(
 
 TAGS = StructType(
     [
-        StructField("Id", IntegerType(), False),
+        StructField("Id", LongType(), False),
         StructField("Tag", StringType(), True),
     ]
 )
@@ -46,16 +46,3 @@ MODEL_NAMES = {
 }
 
 DATE_COLUMNS = ("CreationDate", "ClosedDate")
-
-ID_COLUMNS = ("Id", "OwnerUserId", "ParentId")
-
-
-def with_wide_ids(schema: StructType) -> StructType:
-    """The same table with 64-bit ids, for forums whose ids outgrow the declared 32 bits
-    (a larger id is null under those, and its row a reject)."""
-    return StructType(
-        [
-            StructField(field.name, LongType() if field.name in ID_COLUMNS else field.dataType, field.nullable)
-            for field in schema
-        ]
-    )

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from forumlens.session import stored
 
+# A quoted field with what stands before it; quotes inside are doubled.
+WELL_QUOTED = '(^|,)"(?:[^"]|"")*+"(?=,|\r?$)'
 SPLIT = ["file", "split"]
 
 
@@ -65,7 +67,8 @@ def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     value = F.when(F.col("carriage_return"), F.regexp_replace("value", "\r$", "")).otherwise(F.col("value"))
     begins = ((F.col("starts_open") + quotes_before) % 2 == 0).cast("int")
     pieces = (
-        lines.join(_split_states(lines), SPLIT)
+        lines.join(_split_states(lines), SPLIT, "left")
+        .withColumn("starts_open", F.when(F.col("starts_open").isNull(), F.raise_error(F.lit("the scans were split differently"))).otherwise(F.col("starts_open")))
         .withColumns({"begins": begins, "value": value})
         .withColumn("record", F.sum("begins").over(so_far))
         .groupBy(*SPLIT, "record")
@@ -89,7 +92,11 @@ def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
         )
         .select("file", "at.split", "at.record", "text")
     )
-    return pieces.filter("not cut").drop("cut").unionByName(stitched)
+    records = pieces.filter("not cut").drop("cut").unionByName(stitched)
+    # Quotes outside well-formed fields would shift all later records, silently.
+    left = F.regexp_replace("text", WELL_QUOTED, "$1")
+    message = F.concat(F.lit("stray quote or open field, read it with split_files=False: "), F.col("file"))
+    return records.withColumn("text", F.when(F.contains(left, F.lit('"')), F.raise_error(message)).otherwise(F.col("text")))
 
 
 def is_header() -> Column:

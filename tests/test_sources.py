@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forumlens.sources.forum_csv import convert_to_parquet, load_table
-from forumlens.sources.schemas import ANSWERS, QUESTIONS, TAGS, with_wide_ids
+from forumlens.sources.schemas import ANSWERS, QUESTIONS, TAGS
 from forumlens.sources.writers import write_result
 
 QUESTION_CSV = '''Id,OwnerUserId,CreationDate,ClosedDate,Score,Title,Body
@@ -136,7 +136,15 @@ def test_split_scan_of_the_fixture(spark, folder):
 @pytest.mark.parametrize("split_files", [False, True])
 def test_ids_beyond_32_bits(spark, tmp_path, split_files):
     (tmp_path / "tags.csv").write_text("Id,Tag\n5000000000,java\n1,sql\n")
-    declared = load_table(spark, str(tmp_path / "tags.csv"), TAGS, split_files=split_files)
-    assert [r["id"] for r in declared.rows.collect()] == [1] and declared.rejects.count() == 1
-    wide = load_table(spark, str(tmp_path / "tags.csv"), with_wide_ids(TAGS), split_files=split_files)
-    assert sorted(r["id"] for r in wide.rows.collect()) == [1, 5000000000] and wide.rejects.count() == 0
+    table = load_table(spark, str(tmp_path / "tags.csv"), TAGS, split_files=split_files)
+    assert sorted(r["id"] for r in table.rows.collect()) == [1, 5000000000] and table.rejects.count() == 0
+
+
+def test_split_scan_names_a_file_with_stray_quotes(spark, tmp_path):
+    (tmp_path / "tags.csv").write_text('Id,Tag\n1,a\n2,5" disk\n3,b\n4,c\n5,d\n')
+    assert load_table(spark, str(tmp_path / "tags.csv"), TAGS).rows.count() == 5
+    with pytest.raises(Exception, match="stray quote.*tags.csv"):
+        load_table(spark, str(tmp_path / "tags.csv"), TAGS, split_files=True).rows.collect()
+    (tmp_path / "open.csv").write_text('Id,Tag\n1,a\n2,"never closed\n3,b\n')
+    with pytest.raises(Exception, match="stray quote.*open.csv"):
+        load_table(spark, str(tmp_path / "open.csv"), TAGS, split_files=True).rows.collect()
