@@ -16,6 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forumlens.llm.common import numbered
 from forumlens.session import stored
 
 #: Text in a block; a longer document is a block of its own.
@@ -76,7 +77,7 @@ def pack_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
                 made += 1
                 at = stop
 
-    return stored(docs.mapInArrow(run, "block long, n_bytes long, rest binary, data binary"), "blocks")
+    return stored(numbered(docs).mapInArrow(run, "block long, n_bytes long, rest binary, data binary"), "blocks")
 
 
 def with_answers(blocks: DataFrame, answers: DataFrame) -> DataFrame:

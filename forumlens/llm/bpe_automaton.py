@@ -26,16 +26,19 @@ from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
 import regex
 import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from forumlens.llm.common import drop_columns
+from forumlens.llm.common import drop_columns, map_batches
 
 #: Words and arcs that a Python worker remembers, at most; then it starts anew. Results don't depend on it.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+#: Rows that a worker holds the tokens of at once.
+ROWS = 256
 #: Here the Unicode versions of Python and of the tokenizers library part: the library's own normaliser and splitter read such texts.
 LATER = re.compile("[\u0530-\U0010ffff]")
 #: Marks a word that is given in byte symbols; no text word begins so.
@@ -202,24 +205,31 @@ def encode_documents(docs: DataFrame, path: str, digests: bool = False) -> DataF
     else:
         more = [("token_ids", T.ArrayType(T.IntegerType())), ("decoded", T.StringType())]
     docs = drop_columns(docs, *[n for n, _ in more])
-    out = T.StructType([*docs.schema.fields, *[T.StructField(n, t) for n, t in more]])
+    names = [*docs.columns, *[n for n, _ in more]]
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(path)
         for batch in batches:
-            new = [[] for _ in more]
-            for text in batch.column(place):
-                pieces = coder.pieces(text.as_py() or "")
-                ids = " ".join([p[1] for p in pieces])
-                decoded = " ".join([p[2] for p in pieces])
+            for begin in range(0, len(batch), ROWS):
+                some = batch.slice(begin, ROWS)
+                numbers, ids_of, decoded_of = [], [], []
+                for text in some.column(place):
+                    pieces = coder.pieces(text.as_py() or "")
+                    ids = " ".join([p[1] for p in pieces])
+                    decoded = " ".join([p[2] for p in pieces])
+                    if digests:
+                        numbers.append(sum([p[0] for p in pieces]))
+                        ids, decoded = sha256(ids.encode()).hexdigest(), sha256(decoded.encode()).hexdigest()
+                    else:
+                        ids = np.fromstring(ids, np.int32, sep=" ") if ids else np.zeros(0, np.int32)
+                    ids_of.append(ids)
+                    decoded_of.append(decoded)
                 if digests:
-                    values = (sum([p[0] for p in pieces]), sha256(ids.encode()).hexdigest(), sha256(decoded.encode()).hexdigest())
+                    new = [pa.array(numbers, pa.int64()), pa.array(ids_of, pa.string())]
                 else:
-                    values = ([int(i) for i in ids.split()], decoded)
-                for column, value in zip(new, values):
-                    column.append(value)
-            types = [pa.int64(), pa.string(), pa.string()] if digests else [pa.list_(pa.int32()), pa.string()]
-            yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(c, t) for c, t in zip(new, types)], names=out.names)
+                    ends = np.cumsum([0, *map(len, ids_of)], dtype=np.int32)
+                    new = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids_of)))]
+                yield pa.RecordBatch.from_arrays([*some.columns, *new, pa.array(decoded_of, pa.string())], names=names)
 
-    return docs.mapInArrow(run, out)
+    return map_batches(docs, run, [T.StructField(n, t) for n, t in more])

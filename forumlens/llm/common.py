@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 
@@ -45,6 +47,24 @@ def tasks_for(total: int, per_task: int) -> int:
     return max(1, -(-int(total) // per_task))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """`df` with the columns c0, c1, ...: names with dots and the like don't reach Python workers."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], added: list[T.StructField]) -> DataFrame:
+    """`df` through `run`, whose batches have the columns of `df` and then the added ones."""
+    fields = [*df.schema.fields, *added]
+    names = [f"c{i}" for i in range(len(fields))]
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=names)
+
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, fields)])
+    return numbered(df).mapInArrow(renamed, schema).toDF(*[f.name for f in fields])
+
+
 def ship(spark: SparkSession) -> None:
     """Let Python workers find this package where the driver has it; elsewhere it comes with --py-files."""
     root = str(Path(__file__).resolve().parents[2])

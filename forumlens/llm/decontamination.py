@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forumlens.llm.common import drop_columns, fresh, quoted, tasks_for, utf8_bytes
+from forumlens.llm.common import drop_columns, fresh, map_batches, quoted, tasks_for, utf8_bytes
 from forumlens.session import stored
 
 SIZE = 13
@@ -83,7 +83,6 @@ def scan_windows(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slice_
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.encode("text", "utf-8").alias("text"))
     slices = tasks_for(benchmark.agg(F.sum(utf8_bytes(F.col("text")))).first()[0] or 0, slice_bytes)
     part = F.pmod(F.xxhash64("text"), F.lit(slices))
-    out = T.StructType([*docs.schema.fields, T.StructField("hits", T.BinaryType()), T.StructField("items", T.ArrayType(T.StringType()))])
     place = docs.columns.index("text")
     done = docs.withColumns({"hits": F.lit(None).cast("binary"), "items": F.lit(None).cast("array<string>")})
     for k in range(slices):
@@ -108,7 +107,7 @@ def scan_windows(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slice_
                 columns = batch.columns[:-2] + [pa.array(hits, pa.binary()), pa.array(lists, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-        done = done.mapInArrow(look, out)
+        done = map_batches(done, look, [])
         if k + 1 < slices:
             done = stored(done, "scanned")
     return done
@@ -122,7 +121,6 @@ def judged(scanned: DataFrame, share: int = SHARE, text: str = "text") -> DataFr
     scanned = drop_columns(scanned, "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     place = scanned.columns.index(text)
     more = [("n_words", T.LongType()), ("n_hit", T.LongType()), ("n_items", T.LongType()), ("items_sha256", T.StringType()), ("contaminated", T.BooleanType())]
-    out = T.StructType([*scanned.schema.fields, *[T.StructField(n, t) for n, t in more]])
     names = scanned.columns
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,9 +131,9 @@ def judged(scanned: DataFrame, share: int = SHARE, text: str = "text") -> DataFr
             digest = [sha256(",".join(x).encode()).hexdigest() for x in items]
             bad = [h > 0 and share * h >= w for w, h in zip(words, hit)]
             new = [pa.array(words, pa.int64()), pa.array(hit, pa.int64()), pa.array(map(len, items), pa.int64()), pa.array(digest, pa.string()), pa.array(bad, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(batch.columns + new, names=names + [n for n, _ in more])
+            yield pa.RecordBatch.from_arrays(batch.columns + new, names=[*names, *[n for n, _ in more]])
 
-    return scanned.mapInArrow(judge, out)
+    return map_batches(scanned, judge, [T.StructField(n, t) for n, t in more])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", size: int = SIZE, share: int = SHARE, slice_bytes: int = SLICE_BYTES) -> DataFrame:
@@ -152,13 +150,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
 
     cut = F.udf(cut_spans, "string")
     name = fresh("cut", scanned.columns)
-    kept = scanned.withColumn(name, F.when(F.size("items") > 0, cut("text", "hits")).otherwise(F.col("text")))
+    kept = scanned.withColumn(name, cut("text", "hits"))
     return kept.select(*[F.col(name).alias("text") if c == "`text`" else F.col(c) for c in own])
 
 
 def cut_spans(text: str | None, hits: bytes) -> str | None:
-    if text is None:
-        return None
+    if text is None or not any(hits):
+        return text
     raw = text.encode()
     places = [m.span() for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]+", raw.translate(LETTERS))]
     hit = np.unpackbits(np.frombuffer(hits, np.uint8), count=len(places), bitorder="little")

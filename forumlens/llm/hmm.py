@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forumlens.llm.blocks import from_ipc, packed, rows_of, to_ipc, unpacked, with_answers
-from forumlens.llm.common import drop_columns, fresh, tasks_for
+from forumlens.llm.common import drop_columns, fresh, numbered, tasks_for
 from forumlens.session import stored
 
 STATES = 8
@@ -97,7 +97,7 @@ def encode_blocks(docs: DataFrame, training: str, block_tokens: int) -> DataFram
 
     names = ["block", "n_words", "rest", "lengths", "train", "ids", "classes", "hashes", "counts"]
     schema = "block long, n_words long, rest binary, lengths binary, train binary, ids binary, classes binary, hashes binary, counts binary"
-    return stored(docs.mapInArrow(run, schema), "encoded")
+    return stored(numbered(docs).mapInArrow(run, schema), "encoded")
 
 
 def class_of(hashes: np.ndarray) -> np.ndarray:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forumlens.llm.common import drop_columns, fresh, quoted, tasks_for, utf8_bytes
+from forumlens.llm.common import drop_columns, fresh, numbered, quoted, tasks_for, utf8_bytes
 from forumlens.session import stored
 
 SHARDS = 24
@@ -57,14 +57,16 @@ def external_shuffle(
     buckets = tasks_for(total, bucket_bytes)
     number, drawn = fresh("bucket", docs.columns), fresh("drawn", docs.columns)
     hashed = F.xxhash64(F.lit(seed), *[F.col(quoted(c)) for c in key])
-    numbered = docs.withColumn(drawn, hashed).withColumn(number, F.pmod(F.col(drawn), F.lit(buckets)).cast("int"))
+    dealt = docs.withColumn(drawn, hashed).withColumn(number, F.pmod(F.col(drawn), F.lit(buckets)).cast("int"))
     counts = np.zeros(buckets + 1, np.int64)
-    for b, n in numbered.groupBy(number).count().collect():
+    for b, n in dealt.groupBy(number).count().collect():
         counts[b + 1] = n
     starts = np.cumsum(counts)
     rows = int(starts[-1])
-    kept = docs.columns
-    out = T.StructType([*docs.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
+    fields = [*docs.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())]
+    kept = [f"c{i}" for i in range(len(docs.columns))]
+    out = T.StructType([T.StructField(n, f.dataType) for n, f in zip([*kept, "shard", "slot"], fields)])
+    drawn, number = f"c{len(kept)}", f"c{len(kept) + 1}"
 
     def shuffle_bucket(rows_of: pa.Table) -> pa.Table:
         bucket = rows_of.column(number)[0].as_py()
@@ -74,5 +76,5 @@ def external_shuffle(
         shard, slot = place(starts[bucket] + np.arange(len(order)), rows, shards)
         return rows_of.select(kept).take(pa.array(order)).append_column("shard", pa.array(shard)).append_column("slot", pa.array(slot))
 
-    shuffled = numbered.repartition(buckets, number).groupBy(number).applyInArrow(shuffle_bucket, out)
-    return stored(shuffled.sortWithinPartitions("shard", "slot"), "shards", "shard").select(*[quoted(c) for c in out.names])
+    shuffled = numbered(dealt).repartition(buckets, number).groupBy(number).applyInArrow(shuffle_bucket, out).toDF(*[f.name for f in fields])
+    return stored(shuffled.sortWithinPartitions("shard", "slot"), "shards", "shard").select(*[quoted(f.name) for f in fields])
