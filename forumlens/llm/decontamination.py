@@ -56,13 +56,17 @@ class Windows:
         """Mark the words of `words` that a window covers, and add the items of these windows."""
         ids = np.fromiter(map(self.ids.get, words, repeat(-1)), np.int64, len(words))
         known = np.concatenate([[0], np.cumsum(ids >= 0)])
+        strange = np.concatenate([[-1], np.flatnonzero(ids < 0), [len(ids)]])
+        longest = int(np.diff(strange).max()) - 1  # run of known words
         for n, hashes in self.hashes.items():
-            if n > len(ids):
+            if n > longest:
                 continue
             at = np.flatnonzero(known[n:] - known[:-n] == n)
             for part in np.array_split(at, len(at) // 65536 + 1):
                 rows = ids[part[:, None] + np.arange(n)]
-                for i in np.flatnonzero(np.isin(hash_rows(rows), hashes)):
+                own = hash_rows(rows)
+                near = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+                for i in np.flatnonzero(hashes[near] == own):
                     items = self.items[n].get(tuple(rows[i].tolist()))
                     if items is not None:
                         hit[part[i] : part[i] + n] = True
