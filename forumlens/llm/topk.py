@@ -103,11 +103,9 @@ def bound(a: Node, b: Node) -> float:
     return float(a.centre @ b.centre) + a.norm * b.radius + b.norm * a.radius + a.radius * b.radius
 
 
-def dual_search(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, best: Best, floor: np.ndarray) -> None:
-    """Improve `best` by the data; `floor` has a score for each query that its kth best is known to reach."""
-    if not len(queries) or not len(data):
-        return
-    ours, theirs = cover_tree(queries), cover_tree(data)
+def dual_search(queries: np.ndarray, data: np.ndarray, theirs: Node, ids: np.ndarray, best: Best, floor: np.ndarray) -> None:
+    """Improve `best` by the data and its tree; `floor` has a score for each query that its kth best is known to reach."""
+    ours = cover_tree(queries)
     todo = [(bound(ours, theirs), ours, theirs)]
     while todo:
         most, a, b = todo.pop()
@@ -120,7 +118,11 @@ def dual_search(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, best: Be
             pairs = [(a, y) for y in b.children]
         else:
             for part in np.array_split(b.members, len(b.members) // 4096 + 1):
-                best.add(a.members, queries[a.members] @ data[part].T, ids[part])
+                scores = queries[a.members] @ data[part].T
+                least = np.maximum(best.score[a.members, -1], floor[a.members])
+                some = np.flatnonzero(scores.max(axis=1) >= least)
+                if len(some):
+                    best.add(a.members[some], scores[some], ids[part])
             continue
         todo += sorted(((bound(x, y), x, y) for x, y in pairs), key=lambda p: p[0])  # the most promising is taken next
 
@@ -210,9 +212,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_column: str = "ve
     def search(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         parts = []
         data_points, ids = matrix(mine["v"]), mine["first"].to_numpy()
-        for _, group in theirs.groupby("home") if len(mine) else ():
+        tree = cover_tree(data_points) if len(mine) and len(theirs) else None  # one tree for all groups
+        for _, group in theirs.groupby("home") if tree is not None else ():
             best = Best(len(group), size)
-            dual_search(matrix(group["v"]), data_points, ids, best, group["floor"].to_numpy())
+            dual_search(matrix(group["v"]), data_points, tree, ids, best, group["floor"].to_numpy())
             asker = np.repeat(group["first"].to_numpy(), size)
             good = np.isfinite(best.score.ravel())
             parts.append(pd.DataFrame({"asker": asker[good], "first": best.which.ravel()[good], "score": best.score.ravel()[good]}))
