@@ -83,16 +83,21 @@ def page_record(page_id: int | None, url: str | None, payload: bytes, revisits:
     return record("revisit", head, http)
 
 
-def with_roles(pages: DataFrame, least: int) -> DataFrame:
-    """page_id, url, html, and the largest page_id with the same payload where that is another's."""
+def with_notes(pages: DataFrame, least: int) -> DataFrame:
+    """The records (page_id, url, html, sha, size), and a note for each revisit: the same key, and the response's page_id.
+
+    Notes are joined on digests alone, so a payload is shuffled only once, to its shard, where its note stands before it.
+    """
     body = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     rows = rows.withColumns({"sha": F.sha1(body), "size": utf8_bytes(F.col("html"))})
     repeated = rows.filter(F.col("size") >= least).groupBy("sha", "size").agg(F.count("*").alias("n"), F.max("page_id").alias("response")).filter("n > 1").drop("n")
     # a payload that very many pages share is on one side of the join only, so the adaptive skew join can cut it
-    joined = rows.join(repeated, ["sha", "size"], "left")
+    joined = rows.select("page_id", "sha", "size").join(repeated, ["sha", "size"])
     other = F.coalesce(F.col("page_id") < F.col("response"), F.col("response").isNotNull() & F.col("page_id").isNull())
-    return joined.select("page_id", "url", "html", "size", F.when(other, F.col("response")).alias("response"), F.xxhash64("url", "sha").alias("tie"))
+    notes = joined.filter(other).withColumn("is_record", F.lit(False))
+    records = rows.withColumns({"is_record": F.lit(True), "tie": F.xxhash64("url")})
+    return records.unionByName(notes, allowMissingColumns=True)
 
 
 def write_warc(pages: DataFrame, folder: str, least: int = 0, shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES, date: str = DATE) -> DataFrame:
@@ -109,14 +114,16 @@ def write_warc(pages: DataFrame, folder: str, least: int = 0, shard_bytes: int =
     shards = filled // shard_bytes + 1
     spark = pages.sparkSession
     ranges = spark.createDataFrame(shard_of, "cell int, shard long")  # at most CELLS rows
-    rows = with_roles(pages, least).withColumn("cell", cell).join(F.broadcast(ranges), "cell")
-    sorted_rows = rows.repartition(int(shards), "shard").sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "tie").select("shard", "page_id", "url", "html", "response")
+    rows = with_notes(pages, least).withColumn("cell", cell).join(F.broadcast(ranges), "cell")
+    order = ["shard", F.asc_nulls_first("page_id"), "sha", "size", "is_record", "tie"]
+    sorted_rows = rows.repartition(int(shards), "shard").sortWithinPartitions(*order).select("shard", "page_id", "url", "html", "response", "sha", "is_record")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = file_system(folder)
         system.create_dir(f"{base}/_uncommitted", recursive=True)
         attempt, out, shard, state = uuid.uuid4().hex, None, None, {}
         done: list[dict] = []
+        note: tuple = ()
 
         def close() -> None:
             nonlocal out
@@ -131,7 +138,11 @@ def write_warc(pages: DataFrame, folder: str, least: int = 0, shard_bytes: int =
             state["sha1"].update(data)
 
         for batch in batches:
-            for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).cast(pa.binary()), batch.column(4).to_pylist()):
+            for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).cast(pa.binary()), batch.column(4).to_pylist(), batch.column(5).to_pylist(), batch.column(6).to_pylist()):
+                if not row[6]:
+                    note = (row[1], row[5], row[4])
+                    continue
+                response = note[2] if note[:2] == (row[1], row[5]) else None
                 if row[0] != shard or out is None or state["bytes"] >= file_bytes:
                     close()
                     number = state["number"] + 1 if row[0] == shard else 0
@@ -141,7 +152,7 @@ def write_warc(pages: DataFrame, folder: str, least: int = 0, shard_bytes: int =
                     out = system.open_output_stream(f"{base}/_uncommitted/{state['draft']}", compression=None)
                     head = [("WARC-Record-ID", record_id(shard, name)), ("WARC-Date", date), ("WARC-Filename", name), ("Content-Type", "application/warc-fields")]
                     put(record("warcinfo", head, b"format: WARC File Format 1.1\r\n"))
-                put(page_record(row[1], row[2], row[3].as_py() or b"", row[4] is not None, row[4], date))
+                put(page_record(row[1], row[2], row[3].as_py() or b"", response is not None, response, date))
                 state["records"] += 1
         close()
         if done:
