@@ -41,12 +41,12 @@ def term_hashing(num_features: int = 1000) -> HashingTF:
 
 
 def fitted_stages(index_tags: bool = True) -> Pipeline:
-    """term_vector -> features, and tag -> label where asked for. A tag unseen in training is skipped."""
+    """term_vector -> features, and tag -> label where asked for. A tag unseen in training gets the number after the last."""
     stages = [IDF(inputCol="term_vector", outputCol="features", minDocFreq=0)]
     if index_tags:
         stages.append(
             StringIndexer(
-                inputCol="tag", outputCol="label", stringOrderType="frequencyDesc", handleInvalid="skip"
+                inputCol="tag", outputCol="label", stringOrderType="frequencyDesc", handleInvalid="keep"
             )
         )
     return Pipeline(stages=stages)

@@ -5,31 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_PARTS = 1000
-SALTS = 32
+#: Fact rows of one key that a task may take; a key with more is dealt over several.
+ROWS_PER_TASK = 1 << 20
+#: There are at most so many hot keys, whatever the size: a key with fewer rows than this share is not hot.
+HOT_SHARE = 10_000
 
 
-def hot_keys(table: DataFrame, key: str, weight: str) -> list[int]:
-    """Hashes of the keys that hold more than a thousandth of the whole weight: at most 1000."""
-    total = table.agg(F.sum(weight)).scalar()
-    hot = table.filter(F.col(weight) * HOT_PARTS > total).select(F.xxhash64(key).alias("hash"))
-    return [row["hash"] for row in hot.collect()]
+def hot_keys(table: DataFrame, key: str, weight: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The keys with more rows than a task should take, and the number of tasks for them (`_salts`).
+
+    At most HOT_SHARE keys, each with as many salts as it has times the rows of a task.
+    """
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    limit = max(rows_per_task, -(-int(total) // HOT_SHARE))
+    return table.filter(F.col(weight) > limit).select(key, F.ceil(F.col(weight) / limit).cast("int").alias("_salts"))
 
 
 def skew_safe_lookup(
-    facts: DataFrame, table: DataFrame, key: str, weight: str, spread_by: Column, how: str = "inner"
+    facts: DataFrame,
+    table: DataFrame,
+    key: str,
+    weight: str,
+    spread_by: Column,
+    how: str = "inner",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """`facts` joined to `table` on `key`; `weight` in the table is the key's number of fact rows.
 
-    The fact rows of a hot key, and those without a key, are dealt over SALTS partitions by
-    `spread_by`; the table row of a hot key is repeated for each. A cold key that shares a hash
-    is treated alike on both sides, so the result does not change. `table` is read twice and
-    should be a stored one.
+    The fact rows of a hot key are dealt over its salts by `spread_by`, and its table row is repeated
+    for each; rows without a key are dealt freely, since they meet nothing. What is broadcast are the
+    hot keys, at most HOT_SHARE of them. `table` is read three times and should be a stored one.
     """
-    hashes = hot_keys(table, key, weight)
-    is_hot = F.xxhash64(key).isin(hashes) if hashes else F.lit(False)
-    dealt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
-    salted_facts = facts.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), dealt).otherwise(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted_table = table.withColumn("_salt", F.explode(copies))
+    hot = F.broadcast(hot_keys(table, key, weight, rows_per_task))
+    dealt = F.xxhash64(spread_by)
+    salt = F.when(F.col(key).isNull(), dealt).otherwise(F.coalesce(F.pmod(dealt, F.col("_salts")), F.lit(0)))
+    salted_facts = facts.join(hot, key, "left").withColumn("_salt", salt).drop("_salts")
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)).cast("bigint") - 1)
+    salted_table = table.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return salted_facts.join(salted_table, [key, "_salt"], how).drop("_salt")

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from forumlens.session import stored
+
 DIGIT_BITS = 16
 
 
@@ -79,16 +81,18 @@ def find_cut(df: DataFrame, key: Column, k: int) -> Cut:
 def first_k(df: DataFrame, k: int, *keys: Column) -> DataFrame:
     """The first k rows in ascending order of whole-number keys that hold no null.
 
-    Finds the last row's keys and filters by them, so the rows themselves are never shuffled.
-    The keys together must tell the rows at the cut apart.
+    Finds the last row's keys and filters by them, so the rows themselves are never shuffled; the
+    search reads a stored table of the keys. The keys together must tell the rows at the cut apart.
     """
     if k <= 0:
         return df.limit(0)
-    if df.count() <= k:
+    narrow = stored(df.select(*(key.cast("bigint").alias(f"key{i}") for i, key in enumerate(keys))), "keys")
+    if narrow.count() <= k:
         return df
     taken, tied, missing = F.lit(False), F.lit(True), k
-    for key in keys:
-        cut = find_cut(df.filter(tied), key, missing)
+    for i, key in enumerate(keys):
+        cut = find_cut(narrow, F.col(f"key{i}"), missing)
+        narrow = narrow.filter(F.col(f"key{i}") == cut.value)
         taken = taken | (tied & (key < cut.value))
         tied = tied & (key == cut.value)
         missing -= cut.below

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.functions.stemmer import english_stem
 from forumlens.operators.lookup import skew_safe_lookup
 from forumlens.session import stored
 
+#: Words that a task of the stemmer takes.
+WORDS_PER_TASK = 4096
 
-def stem_vocabulary(words: DataFrame) -> DataFrame:
+
+def stem_vocabulary(words: DataFrame, words_per_task: int = WORDS_PER_TASK) -> DataFrame:
     """Add `stem` to a table with a row for each `word`.
 
-    The rows are few bytes and much work, so they keep the full number of shuffle partitions,
-    which the adaptive merge of small ones would cut.
+    The rows are few bytes and much work, so the tasks follow from their number and not from
+    the bytes, by which the adaptive merge would go.
     """
-    partitions = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return words.repartition(partitions, "word").withColumn("stem", english_stem(F.col("word")))
+    words = stored(words, "words")
+    tasks = max(1, -(-words.count() // words_per_task))
+    return words.repartition(tasks, "word").withColumn("stem", english_stem(F.col("word")))
 
 
 def count_words(df: DataFrame, words: str) -> DataFrame:
@@ -30,17 +34,39 @@ def count_words(df: DataFrame, words: str) -> DataFrame:
     )
 
 
+def _word_places(df: DataFrame, id_column: str, words: str) -> DataFrame:
+    """One row per id and distinct word with its places in the text, found inside the text's own row.
+    A text without words has one row without a word."""
+    placed = F.transform(words, lambda word, i: F.struct(word.alias("word"), i.alias("place")))
+    ordered = df.select(id_column, F.sort_array(placed).alias("ordered"))
+    starts = F.filter(
+        F.when(F.size("ordered") > 0, F.sequence(F.lit(0), F.size("ordered") - 1)),
+        lambda i: (i == 0) | (F.get("ordered", i)["word"] != F.get("ordered", i - 1)["word"]),
+    )
+
+    def run(start: Column, i: Column) -> Column:
+        end = F.coalesce(F.get("starts", i + 1), F.size("ordered"))
+        places = F.transform(F.slice("ordered", start + 1, end - start), lambda x: x["place"])
+        return F.struct(F.get("ordered", start)["word"].alias("word"), places.alias("places"))
+
+    return ordered.withColumn("starts", starts).select(id_column, F.inline_outer(F.transform("starts", run)))
+
+
 def stem_words(df: DataFrame, id_column: str, words: str) -> DataFrame:
     """id and its array of stems in text order, under the name `words`; `df` has one row per id.
 
-    A group on the way back is one text, which was a single row before.
+    The cleaned words are stored once, a row for each word of a text; vocabulary and join read them
+    there. A group on the way back is one text, which was a single row before.
     """
-    tokens = df.select(id_column, F.posexplode_outer(words).alias("pos", "word"))
-    lexicon = stored(stem_vocabulary(count_words(df, words)), "stems")
-    stemmed = skew_safe_lookup(tokens, lexicon, "word", "total_count", F.struct(id_column, "pos"), how="left")
-    ordered = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "stem"))))
+    places = stored(_word_places(df, id_column, words), "word-places")
+    counted = places.filter("word is not null").groupBy("word").agg(F.count("*").alias("doc_count"))
+    lexicon = stored(stem_vocabulary(counted), "stems")
+    stemmed = skew_safe_lookup(places, lexicon, "word", "doc_count", F.col(id_column), how="left")
+    found = F.collect_list(F.when(F.col("word").isNotNull(), F.struct("places", "stem")))
+    each = F.transform("found", lambda f: F.transform(f["places"], lambda p: F.struct(p.alias("place"), f["stem"].alias("stem"))))
+    ordered = F.sort_array(F.flatten(each))
     return (
         stemmed.groupBy(id_column)
-        .agg(ordered.alias("ordered"))
-        .select(id_column, F.col("ordered.stem").alias(words))
+        .agg(found.alias("found"))
+        .select(id_column, F.transform(ordered, lambda x: x["stem"]).alias(words))
     )

@@ -48,6 +48,8 @@ def inverse_document_frequency(terms: DataFrame, documents: DataFrame) -> DataFr
 
 
 def tf_idf(terms: DataFrame, documents: DataFrame, id_column: str) -> DataFrame:
+    """Weight of each term. The terms are stored, since the table of weights and the join both read them."""
+    terms = stored(terms, "terms")
     idf = stored(inverse_document_frequency(terms, documents), "idf")
     return skew_safe_lookup(terms, idf, "word", "doc_count", F.col(id_column)).select(
         id_column, "word", "n", "idf", (F.col("n") * F.col("idf")).alias("tf_idf")

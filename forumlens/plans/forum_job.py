@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from forumlens.plans import analyses, answer_model, tag_model
 from forumlens.plans.training import Grid, Settings
+from forumlens.session import scratch_removed
 from forumlens.sources.forum_csv import convert_to_parquet, load_table
 from forumlens.sources.schemas import ANSWERS, QUESTIONS, TAGS
 from forumlens.sources.writers import write_result
@@ -82,7 +83,8 @@ def _write_validation(model, output: str, name: str, settings: Settings, grid: G
 
 
 def run(forum: Forum, output: str) -> None:
-    """Analyses and both predictions, without cross validation."""
-    analyses.write_analyses(forum.questions, forum.answers, forum.tags, output)
-    run_tag_prediction(forum, output)
-    run_answer_prediction(forum, output)
+    """Analyses and both predictions, without cross validation. Its scratch tables are gone when it ends."""
+    with scratch_removed(forum.questions.sparkSession):
+        analyses.write_analyses(forum.questions, forum.answers, forum.tags, output)
+        run_tag_prediction(forum, output)
+        run_answer_prediction(forum, output)

@@ -82,6 +82,12 @@ def _is_train(id_column: str) -> str:
     return f"cast({_hash_number(1, id_column)} % 100 < 70 as integer)"
 
 
+TAG_ROWS = f"""chosen as (
+  select doc_id id, lang tag, text body, {_is_train('doc_id')} is_train from documents
+  where n_chars >= 10 and lang in (
+    select lang from documents where n_chars >= 10 group by 1 order by count(*) desc, lang limit 10))"""
+
+
 def _stemmed(source: str, id_column: str, words: str) -> str:
     """Table expressions that end in joined(id, text): the stems of each row's words in order."""
     return f"""cleaned as (select {id_column}, {words} words from {source}),
@@ -196,12 +202,9 @@ select page_id, coalesce(text, '') as text from questions left join joined using
 vocabulary as (select word, count(*) total_count from cleaned group by 1),
 {stem_ctes('vocabulary')}
 select word, total_count, stem from vocabulary join stems using (word)""",
-    "tag_training_set": f"""with chosen as (
-  select doc_id id, lang tag, text body from documents
-  where n_chars >= 10 and lang in (
-    select lang from documents where n_chars >= 10 group by 1 order by count(*) desc, lang limit 10)),
+    "tag_training_set": f"""with {TAG_ROWS},
 {_stemmed('chosen', 'id', _clean(STRIPPED))}
-select id, tag, {_is_train('id')} is_train, coalesce(joined.text, '') as text from chosen left join joined using (id)""",
+select id, tag, is_train, coalesce(joined.text, '') as text from chosen left join joined using (id)""",
     "answer_training_set": f"""with rated as (
   select doc_id id, text body, n_chars score, cast(quality as integer) as label from documents join labels using (doc_id)),
 numbered as (select *, row_number() over (partition by label order by score desc, id) place from rated),
@@ -209,6 +212,24 @@ chosen as (
   select * from numbered where place <= (select min(n) from (select count(*) n from rated group by label))),
 {_stemmed('chosen', 'id', _clean(STRIPPED))}
 select id, label, {_is_train('id')} is_train, coalesce(joined.text, '') as text from chosen left join joined using (id)""",
+    "area_under_roc": """with counts as (
+  select n_chars, sum(quality) ones, sum(1 - quality) zeros from documents join labels using (doc_id) group by 1),
+placed as (select *, sum(zeros) over (order by n_chars) upto from counts)
+select round(sum(ones * (upto - zeros / 2.0)) / (sum(ones) * sum(zeros)), 6) area_under_roc from placed""",
+    "tag_label_index": f"""with {TAG_ROWS}
+select cast(row_number() over (order by count(*) desc, tag) - 1 as integer) as label, tag from chosen where is_train = 1 group by tag""",
+    "model_row_counts": f"""with {TAG_ROWS}, known as (select distinct tag from chosen where is_train = 1)
+select count(*) filter (is_train = 1) train_rows,
+       count(*) filter (is_train = 0 and known.tag is not null) test_rows,
+       count(*) filter (is_train = 0 and known.tag is null) skipped_rows
+from chosen left join known using (tag)""",
+    "top3_tags_per_question": f"""with {TAG_ROWS}
+select id, least(3, (select count(distinct tag) from chosen where is_train = 1)) ranks from chosen where is_train = 0 group by id""",
+    "train_idf": f"""with {TAG_ROWS}, train as (select * from chosen where is_train = 1),
+{_stemmed('train', 'id', _clean(STRIPPED))},
+terms as (select distinct id, stem from placed join stems using (word))
+select stem as word, count(*) doc_count, round(ln(((select count(*) from train) + 1.0) / (count(*) + 1.0)), 6) idf
+from terms group by stem""",
     "page_tag": f"with {PAGES} select page_id, tag from questions",
     "vocabulary": f"""with {TERMS}
 select word, cast(sum(n) as bigint) total_count, count(*) doc_count from terms group by 1""",

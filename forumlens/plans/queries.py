@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from forumlens.functions.text import clean_words, is_stopword, split_words, strip_html, strip_punctuation
 from forumlens.operators import features, metrics, relations, selection, splitting, stemming, terms
 from forumlens.plans import analyses, answer_model, tag_model
-from forumlens.plans.training import Grid, Settings
+from forumlens.plans.training import row_counts
 from forumlens.session import scratch_path, stored
 from forumlens.sources import forum_csv, schemas
 from forumlens.sources import sample_tables as sample
@@ -19,10 +19,6 @@ from forumlens.sources.writers import write_result
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SMALL_GRID = Grid(reg_param=(0.01, 0.1), elastic_net_param=(0.0, 0.3), max_iter=(10,))
-SMALL_FOLDS = 3
-
-
 def _posts(spark: SparkSession, folder: str) -> DataFrame:
     return sample.posts(spark, folder).select("id", "creation_date", "score")
 
@@ -167,7 +163,7 @@ def frequent_tags(spark, folder):
 
 
 def posts_with_top_tags(spark, folder):
-    tagged = _high_score(spark, folder)
+    tagged = stored(_high_score(spark, folder), "high-score")
     return selection.keep_tags(tagged, selection.top_tags(tagged))
 
 
@@ -293,6 +289,13 @@ def balanced_accuracy(spark, folder):
     )
 
 
+def area_under_roc(spark, folder):
+    """How well a document's length tells its quality."""
+    lengths = sample.table(spark, folder, "documents").select("doc_id", "n_chars")
+    scored = sample.labels(spark, folder).select("doc_id", "quality").join(lengths, "doc_id")
+    return metrics.area_under_roc(scored, "quality", "n_chars").select(F.round("area_under_roc", 6).alias("area_under_roc"))
+
+
 # Sources and sinks
 
 
@@ -376,8 +379,26 @@ def _answer_model(spark: SparkSession, folder: str) -> answer_model.AnswerModel:
     )
 
 
-def _training_summary(settings: Settings, model) -> DataFrame:
-    return model.cross_validate(settings, SMALL_GRID, SMALL_FOLDS).grid
+def _prepared_tags(spark: SparkSession, folder: str):
+    return tag_model.prepare_tags(sample.document_questions(spark, folder), sample.document_tags(spark, folder))
+
+
+def tag_label_index(spark, folder):
+    """Numbers of the tags in training, the most frequent first."""
+    labels = _prepared_tags(spark, folder).stages.stages[-1].labels  # as many as the model has classes
+    return spark.createDataFrame(list(enumerate(labels)), "label int, tag string")
+
+
+def model_row_counts(spark, folder):
+    return row_counts(_prepared_tags(spark, folder))
+
+
+def train_idf(spark, folder):
+    """IDF of the stemmed words on the training side of the tag job."""
+    rows = tag_model.training_rows(sample.document_questions(spark, folder), sample.document_tags(spark, folder))
+    train = stored(rows.filter(splitting.is_train("id")).select("id", "words"), "train-words")
+    values = terms.inverse_document_frequency(terms.term_counts(train, "id", F.col("words")), train)
+    return values.withColumn("idf", F.round("idf", 6))
 
 
 def tag_model_metrics(spark, folder):
@@ -388,8 +409,14 @@ def top3_tags(spark, folder):
     return _tag_model(spark, folder).likely_tags(3)
 
 
+def top3_tags_per_question(spark, folder):
+    """Number of ranks of each held-out question."""
+    return top3_tags(spark, folder).groupBy("id").agg(F.count("*").alias("ranks"))
+
+
 def tag_cv_grid(spark, folder):
-    return _training_summary(tag_model.CLUSTER_SETTINGS, _tag_model(spark, folder))
+    """All grid points over five folds."""
+    return _tag_model(spark, folder).cross_validate(tag_model.CLUSTER_SETTINGS).grid
 
 
 def answer_model_metrics(spark, folder):
@@ -397,7 +424,8 @@ def answer_model_metrics(spark, folder):
 
 
 def answer_cv_grid(spark, folder):
-    return _training_summary(answer_model.SETTINGS, _answer_model(spark, folder))
+    """All grid points over five folds: 240 fits."""
+    return _answer_model(spark, folder).cross_validate(answer_model.SETTINGS, parallelism=8).grid
 
 
 QUERIES: dict[str, Query] = {
@@ -452,8 +480,13 @@ QUERIES: dict[str, Query] = {
     "csv_to_parquet": csv_to_parquet,
     "tag_training_set": tag_training_set,
     "answer_training_set": answer_training_set,
+    "area_under_roc": area_under_roc,
+    "tag_label_index": tag_label_index,
+    "model_row_counts": model_row_counts,
+    "train_idf": train_idf,
     "tag_model_metrics": tag_model_metrics,
     "top3_tags": top3_tags,
+    "top3_tags_per_question": top3_tags_per_question,
     "tag_cv_grid": tag_cv_grid,
     "answer_model_metrics": answer_model_metrics,
     "answer_cv_grid": answer_cv_grid,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -54,17 +55,25 @@ class TagModel:
         return cross_validate(self.prepared.train, settings, grid, scorer, folds, parallelism)
 
     def likely_tags(self, per_question: int = 3) -> DataFrame:
-        """The most probable tags of every held-out question, best first.
-
-        The probabilities of a question lie in one row and are ranked there, without a shuffle.
-        """
-        scored = self.model.transform(self.prepared.test.dropDuplicates(["id"]))
+        """The most probable tags of every held-out question, best first, also where its own tags do
+        not occur in training."""
+        return self._ranked(self.prepared.held_out, per_question)
+
+    def rank_tags(self, questions: DataFrame, per_question: int = 3, **cleaning) -> DataFrame:
+        """The most probable tags of any questions (id, title, body), which need none of their own."""
+        hashing_and_idf = PipelineModel(self.prepared.stages.stages[:-1])
+        return self._ranked(hashing_and_idf.transform(question_words(questions, **cleaning)), per_question)
+
+    def _ranked(self, features: DataFrame, per_question: int) -> DataFrame:
+        """The probabilities of a question lie in one row and are ranked there; of a question with
+        several rows, which have the same features, only ranks are shuffled."""
         candidates = F.transform(
             vector_to_array("probability"), lambda p, i: F.struct(p.alias("p"), (-i).alias("place"))
         )
         best = F.slice(F.sort_array(candidates, asc=False), 1, per_question)
+        scored = self.model.transform(features).select("id", best.alias("best")).dropDuplicates(["id"])
         names = F.array(*(F.lit(tag) for tag in self.tags))
-        return scored.select("id", F.posexplode(best).alias("pos", "hit")).select(
+        return scored.select("id", F.posexplode("best").alias("pos", "hit")).select(
             "id",
             (F.col("pos") + 1).alias("rank"),
             F.get(names, -F.col("hit.place")).alias("tag"),
@@ -81,7 +90,8 @@ def tagged_questions(
 ) -> DataFrame:
     """id and tag of questions with a score of at least `score_threshold`, for the `top_n` most
     frequent tags, or for those with `at_least` rows where that is given."""
-    tagged = with_tags(score_filter(questions.select("id", "score"), score_threshold), tags).select("id", "tag")
+    scored = score_filter(questions.select("id", "score"), score_threshold)
+    tagged = stored(with_tags(scored, tags).select("id", "tag"), "all-tagged")
     wanted = top_tags(tagged, top_n) if at_least is None else frequent_tags(tagged, at_least)
     return keep_tags(tagged, stored(wanted, "wanted-tags"))
 
@@ -103,6 +113,11 @@ def training_rows(
     return question_words(wanted, **cleaning).join(kept, "id")
 
 
+def prepare_tags(questions: DataFrame, tags: DataFrame, settings: Settings = CLUSTER_SETTINGS, *selection, **cleaning) -> Prepared:
+    """Features and labels of both sides; `selection` and `cleaning` as in `training_rows`."""
+    return prepare(training_rows(questions, tags, *selection, **cleaning), settings, index_tags=True)
+
+
 def train_tag_model(
     questions: DataFrame,
     tags: DataFrame,
@@ -112,6 +127,5 @@ def train_tag_model(
     at_least: int | None = None,
     **cleaning,
 ) -> TagModel:
-    rows = training_rows(questions, tags, score_threshold, top_n, at_least, **cleaning)
-    prepared = prepare(rows, settings, index_tags=True)
+    prepared = prepare_tags(questions, tags, settings, score_threshold, top_n, at_least, **cleaning)
     return TagModel(prepared, estimator(settings).fit(prepared.train))

@@ -37,11 +37,16 @@ class Grid:
 
 @dataclass(frozen=True)
 class Prepared:
-    """Stored features of both sides, the stages that made them, and the test rows they left out."""
+    """Stored features of both sides and the stages that made them.
+
+    `held_out` has all rows of the test side, `test` those whose label the training side knows;
+    `skipped_rows` is the number of the others.
+    """
 
     stages: PipelineModel
     train: DataFrame
     test: DataFrame
+    held_out: DataFrame
     skipped_rows: int
 
 
@@ -57,15 +62,23 @@ def prepare(rows: DataFrame, settings: Settings, index_tags: bool) -> Prepared:
     fitted = fitted_stages(index_tags).fit(hashed.filter("is_train"))
     label = F.col("label").cast("double").alias("label")
     features = stored(fitted.transform(hashed).select("id", "features", label, "is_train"), "features", "is_train")
-    train, test = features.filter("is_train"), features.filter("not is_train")
+    held_out = features.filter("not is_train")
+    known = F.col("label") < len(fitted.stages[-1].labels) if index_tags else F.lit(True)
     return Prepared(
         stages=PipelineModel([hashing, *fitted.stages]),
-        train=train,
-        test=test,
-        skipped_rows=hashed.filter("not is_train").count() - test.count(),
+        train=features.filter("is_train"),
+        test=held_out.filter(known),
+        held_out=held_out,
+        skipped_rows=held_out.filter(~known).count(),
     )
 
 
+def row_counts(prepared: Prepared) -> DataFrame:
+    """One row: train_rows, test_rows and skipped_rows."""
+    rows = prepared.train.agg(F.count("*").alias("train_rows")).withColumn("test_rows", F.lit(prepared.test.count()).cast("bigint"))
+    return rows.withColumn("skipped_rows", F.lit(prepared.skipped_rows).cast("bigint"))
+
+
 def estimator(settings: Settings) -> LogisticRegression:
     return LogisticRegression(
         maxIter=settings.max_iter, regParam=settings.reg_param, elasticNetParam=settings.elastic_net_param
@@ -86,7 +99,10 @@ def cross_validate(
     folds: int = 5,
     parallelism: int = 4,
 ) -> Validated:
-    """Every grid point over folds of whole questions; the best one is fitted again on all rows."""
+    """Every grid point over folds of whole questions; the best one is fitted again on all rows.
+
+    The fold stands in a stored table, so no fit computes it again.
+    """
     regression = estimator(settings)
     points = (
         ParamGridBuilder()
@@ -103,7 +119,7 @@ def cross_validate(
         foldCol=FOLD,
         parallelism=parallelism,
     )
-    fitted = validator.fit(train.withColumn(FOLD, fold("id", folds, settings.seed)))
+    fitted = validator.fit(stored(train.withColumn(FOLD, fold("id", folds, settings.seed)), "folds"))
     best = fitted.bestModel
     chosen = (best.getRegParam(), best.getElasticNetParam(), best.getMaxIter())
     table = []

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: list[str] = []
+
 
 def build_session(app_name: str = "forumlens", master: str | None = None, **conf: str) -> SparkSession:
     builder = (
@@ -50,10 +54,27 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     Cuts the lineage, survives lost executors, and gives later joins the true size.
     """
     path = scratch_path(df.sparkSession, name)
+    _written.append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that `stored` writes inside the block when it ends.
+
+    Only for jobs whose results are written elsewhere by then.
+    """
+    kept_before = list(_written)
+    try:
+        yield
+    finally:
+        for path in [p for p in _written if p not in kept_before]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+            _written.remove(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Shuffle a scan that has fewer tasks than the cluster has cores.
 

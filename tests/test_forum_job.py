@@ -1,8 +1,10 @@
 import csv
+import os
 import random
 
 from forumlens.plans import forum_job
 from forumlens.plans.training import Grid
+from forumlens.session import shared_folder
 from forumlens.sources.schemas import ANSWERS, QUESTIONS, TAGS
 
 TOPICS = {"java": "class jvm bean", "sql": "select join table", "css": "color margin float"}
@@ -39,7 +41,10 @@ def test_from_csv_to_metrics(spark, tmp_path):
     assert forum.questions.count() == 150 and forum.answers.count() == len(answers)
     assert spark.read.parquet(f"{store}/questions_rejects").count() == 1
 
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
     forum_job.run(forum, output)
+    assert set(os.listdir(folder)) == before
     read = lambda name: spark.read.parquet(f"{output}/{name}")
     assert read("questions_per_year").count() == 4
     assert {tuple(r) for r in read("tag_frequency").collect()} == {(tag, 50) for tag in TOPICS}

@@ -75,6 +75,11 @@ def test_tags_unseen_in_training_are_skipped(spark, corpus):
     model = tag_model.train_tag_model(questions, tags, top_n=10)
     assert "rare" not in model.tags
     assert model.metrics().first()["skipped_rows"] == 1
+    ranked = {r["id"] for r in model.likely_tags().collect()}
+    assert key in ranked and ranked == {r["id"] for r in model.prepared.held_out.collect()}
+    untagged = spark.createDataFrame([(1, "select", "a table", None), (2, None, None, 1)], "id int, title string, body string, score int")
+    best = {r["id"]: r["tag"] for r in model.rank_tags(untagged).filter("rank = 1").collect()}
+    assert best[1] == "sql" and set(best) == {1, 2}
 
 
 def test_answer_model_needs_and_learns_two_classes(spark):

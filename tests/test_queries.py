@@ -53,6 +53,13 @@ def test_cleaning_runs_no_python(spark):
     assert "Python" not in plan(features.clean_corpus(questions))
 
 
+def test_texts_are_cleaned_once(spark):
+    """After the words are stored, no job holds the cleaning expression again."""
+    questions = sample.pages(spark, FOLDER).withColumnRenamed("page_id", "id")
+    final = plan(features.clean_corpus(questions))
+    assert "regexp_replace" not in final and "translate" not in final and "html" not in final
+
+
 def test_joins_are_semi_and_anti(spark):
     posts, replies = sample.posts(spark, FOLDER), sample.replies(spark, FOLDER)
     assert "LeftSemi" in plan(relations.answered(posts, replies))

@@ -37,10 +37,11 @@ def test_lookup_with_a_hot_key_equals_a_plain_join(spark):
         "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 1000 != 1, F.concat(F.lit("w"), F.col("id"))).alias("word")
     )
     table = facts.filter("word is not null").groupBy("word").agg(F.count("*").alias("n")).withColumn("value", F.length("word"))
-    assert len(lookup.hot_keys(table, "word", "n")) == 1
-    for how in ("inner", "left"):
+    assert [tuple(r) for r in lookup.hot_keys(table, "word", "n", 1000).collect()] == [("hot", 10)]
+    assert lookup.hot_keys(table, "word", "n").count() == 0
+    for how, rows in (("inner", 1000), ("left", 1000), ("left", 1 << 20)):
         plain = facts.join(table, "word", how).agg(F.count("*"), F.sum("value"), F.sum("id")).first()
-        safe = lookup.skew_safe_lookup(facts, table, "word", "n", F.col("id"), how)
+        safe = lookup.skew_safe_lookup(facts, table, "word", "n", F.col("id"), how, rows)
         assert safe.agg(F.count("*"), F.sum("value"), F.sum("id")).first() == plain
     safe = lookup.skew_safe_lookup(facts, table, "word", "n", F.col("id"))
     assert safe.columns == ["word", "id", "n", "value"]
