@@ -84,9 +84,9 @@ def hash_rows(rows: np.ndarray) -> np.ndarray:
 def scan_windows(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """`docs` with `hits` (a bit for each word, little-endian) and `items` (sorted ids of items with an occurring window)."""
     docs = drop_columns(docs, "hits", "items")
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.encode("text", "utf-8").alias("text"))
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.encode("text", "utf-8").alias("text")).distinct()
     slices = tasks_for(benchmark.agg(F.sum(utf8_bytes(F.col("text")))).first()[0] or 0, slice_bytes)
-    part = F.pmod(F.xxhash64("text"), F.lit(slices))
+    part = F.pmod(F.xxhash64("item", "text"), F.lit(slices))  # copies of a text are dealt by their items
     place = docs.columns.index("text")
     done = docs.withColumns({"hits": F.lit(None).cast("binary"), "items": F.lit(None).cast("array<string>")})
     for k in range(slices):
