@@ -16,6 +16,11 @@ row. Input columns with the names of the new ones are replaced, others stay.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -32,6 +37,8 @@ FOLDS = 3
 SEED = 42
 PENALTY = 2e-4
 ROUNDS = 20
+#: Tasks over the bounded sample; up to four sum a loss in one stage.
+TASKS = 4
 
 
 def words_of(text: Column) -> Column:
@@ -49,7 +56,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...
     fold = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.lit(FOLDS)).cast("int")
     texts = docs.select("doc_id", words_of(F.col("text")).alias("words"))
     # at most `sample` rows of a few numbers
-    return stored(texts.join(F.broadcast(drawn), "doc_id").withColumn("fold", fold).repartition(6, "doc_id"), "labelled")
+    return stored(texts.join(F.broadcast(drawn), "doc_id").withColumn("fold", fold).repartition(TASKS, "doc_id"), "labelled")
 
 
 def telling_words(rows: DataFrame, n_categories: int, words: int) -> list[str]:
@@ -82,6 +89,12 @@ def fit(rows: DataFrame, features: str, label: str) -> LogisticRegressionModel |
     return learner.fit(rows)
 
 
+def side_by_side(rows: DataFrame, tasks: list[Callable[[], object]]) -> list:
+    """The results of fits on the sample, each of which is a chain of jobs too small to fill a cluster."""
+    with ThreadPool(len(tasks)) as pool:
+        return pool.map(lambda task: task(), [inheritable_thread_target(rows.sparkSession)(t) for t in tasks])
+
+
 def probability(df: DataFrame, model: LogisticRegressionModel | Constant, features: str, name: str) -> DataFrame:
     if isinstance(model, Constant):
         return df.withColumn(name, F.lit(model.value))
@@ -136,11 +149,12 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] =
     models, thresholds = [], []
     for k in range(n):
         rows = VectorAssembler(inputCols=["bag", *[f"p_{j}" for j in range(k)]], outputCol="seen").transform(rows)
-        rows = stored(rows, "folds")
-        models.append(fit(rows, "seen", f"is_{k}"))
-        parts = []
-        for fold in range(FOLDS):  # each part by the model that has not seen it
-            parts.append(probability(rows.filter(F.col("fold") == fold), fit(rows.filter(F.col("fold") != fold), "seen", f"is_{k}"), "seen", f"p_{k}"))
+        rows = stored(rows.coalesce(TASKS), "folds")
+        sides = [rows, *[rows.filter(F.col("fold") != fold) for fold in range(FOLDS)]]
+        whole, *others = side_by_side(rows, [partial(fit, side, "seen", f"is_{k}") for side in sides])
+        models.append(whole)
+        # each part by the model that has not seen it
+        parts = [probability(rows.filter(F.col("fold") == fold), other, "seen", f"p_{k}") for fold, other in enumerate(others)]
         rows = parts[0]
         for part in parts[1:]:
             rows = rows.unionByName(part)
