@@ -236,7 +236,11 @@ def first_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTA
 
     Of several rows with that doc_id one stays. Rows without doc_id are not judged and stay.
     """
-    found = near_duplicates(docs.filter(F.col("doc_id").isNotNull()), shingle, distance)
+    return first_of_components(docs, near_duplicates(docs.filter(F.col("doc_id").isNotNull()), shingle, distance))
+
+
+def first_of_components(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The same for components that are known: `found` has doc_id and component_id."""
     others = found.groupBy("doc_id").agg(F.min("component_id").alias("to")).filter("doc_id <> to").select("doc_id")
     repeated = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
     kept = docs.join(others, "doc_id", "left_anti")

@@ -1,3 +1,6 @@
+import random
+from itertools import combinations
+
 import duckdb
 import pytest
 
@@ -42,3 +45,30 @@ def test_whole_run(spark):
     out = corpus_pipeline.run(spark, FOLDER)
     assert 0 < out.count() <= docs.count() and out.columns == [*docs.columns, "token_ids", "decoded"]
     assert out.select("doc_id").distinct().count() == out.count()
+
+
+def test_near_copies_go_whole(spark):
+    """The second stage against all pairs: copies with some words replaced, chains of them, a common passage."""
+    chance = random.Random(4)
+    word = lambda: f"w{chance.randrange(3000)}"
+    passage = [word() for _ in range(30)]
+    made = []
+    for base in range(25):
+        text = [word() for _ in range(chance.randrange(3, 300))] + (passage if base % 2 else [])
+        for copy in range(8):
+            made.append(" ".join(text))
+            near = [word() if chance.random() < (0.005, 0.01, 0.02)[copy % 3] else w for w in text]
+            text = near if base % 3 else near[: chance.randrange(len(near) * 4 // 5, len(near) + 1)]
+    chance.shuffle(made)
+    sets = []
+    for text in made:
+        words = text.split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    label = list(range(len(made)))
+    for i, j in combinations(label[:], 2):
+        if 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j])):
+            x, y = sorted((label[i], label[j]))
+            label = [x if k == y else k for k in label]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.remove_near_duplicates(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(label))
