@@ -1,15 +1,17 @@
 """A hidden Markov language model: trained by Baum-Welch on all training texts, scored exactly.
 
-A token is emitted in two steps: the state emits a word class, the class emits the word. Classes are hashes
-of words, `classes` in number, so the model has a fixed size on any corpus; the words of a class share its
-mass by their counts, which are gathered over the whole corpus: P(w | k) = (c(w) + 0.5) / (n_k + 0.5 (V_k + 1)),
-with one share for all unknown words. Together that is a distribution over texts: each ends with one end token.
+Each state emits words: P(w | k) = share(w) x ratio(w, k), where share(w) = (c(w) + 0.5) / (n + 0.5 (V + 1)) is the word's share
+of the corpus, with one share for all unknown words, and ratio(w, k) = (e(w, k) + 0.5 m(k)) / (m(k) (c(w) + 0.5)), with the expected
+counts e and the state's share m of all tokens; a little of the share itself is mixed in. The ratio of an unknown word is 1. So each
+word has its own profile of states, and the model grows with the vocabulary. Together that is a distribution over texts: each ends
+with one end token.
 
 1. Each text becomes numbers in the dictionary of its block. Blocks name each word once, with its training count;
    buckets of word hashes (128 bits) add them up and answer each block. No table of all words stands in one place.
-2. The states are told apart at first by the most frequent classes: those that share documents form groups.
-3. Baum-Welch: tasks run the scaled forward and backward recursions over their blocks, side by side for many texts,
-   and add up expected counts; partial sums are added in two levels. Only sums of the model's own size reach the driver.
+2. The states are told apart at first by the most frequent words: those that share documents form groups.
+3. Baum-Welch: tasks run the scaled forward and backward recursions over their blocks, side by side for many texts; the expected
+   counts by word and state go to the buckets of words, which add them up and answer each block for the next round. Only sums by
+   state reach the driver. Rounds end when the likelihood gains less than GAIN a token.
 4. The scaled forward recursion gives each text's likelihood; the logarithms of the scales add up.
 
 Defined cases: null is the empty text, one end token. A null doc_id counts as a training text (for the query).
@@ -35,19 +37,21 @@ from forumlens.llm.common import drop_columns, fresh, numbered, tasks_for
 from forumlens.session import stored
 
 STATES = 8
+#: Places in the order of word hashes; buckets are ranges of them.
 CLASSES = 1 << 15
-ROUNDS = 3
+#: The rounds end when a token's mean log likelihood (base e) gains less.
+GAIN = 0.005
 SEED = 42
 ANCHORS = 128
 BLOCK_TOKENS = 1_000_000
 BATCH_TOKENS = 400_000
 #: Distinct words of blocks that meet in one bucket, about.
 BUCKET_WORDS = 1_000_000
-#: Share of the corpus-wide class distribution in each state's.
+#: Share of the corpus-wide distribution in each state's.
 BACKGROUND = 0.01
 END = b"\n"
 PARTS = 8
-#: Tasks of a training round, at least, if there are blocks for them.
+#: Tasks over the blocks, at least, if there are blocks for them.
 TASKS = 6
 
 
@@ -63,7 +67,7 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 
 
 def encode_blocks(docs: DataFrame, training: str, block_tokens: int) -> DataFrame:
-    """Blocks of numbered texts: (block, n_words, rest, lengths, train, ids, classes, hashes, counts)."""
+    """Blocks of numbered texts: (block, n_words, rest, lengths, train, ids, hashes, counts)."""
     place, flag = docs.columns.index("text"), docs.columns.index(training)
     keep = [i for i, c in enumerate(docs.columns) if c != training]
 
@@ -84,19 +88,19 @@ def encode_blocks(docs: DataFrame, training: str, block_tokens: int) -> DataFram
                 train = np.array(flags[begin:at], bool)
                 lengths = np.array([len(r) for r in rows], np.int32)
                 hashes = word_hashes(list(number))
-                order = np.argsort(class_of(hashes), kind="stable")  # words are numbered by class, so buckets are ranges
+                order = np.lexsort((hashes[:, 1], hashes[:, 0], class_of(hashes)))  # words are numbered by class, so buckets are ranges
                 renumber = np.empty(len(order), np.int32)
                 renumber[order] = np.arange(len(order), dtype=np.int32)
                 ids, hashes = renumber[np.concatenate(rows)], hashes[order]
                 counts = np.bincount(ids[np.repeat(train, lengths)], minlength=len(number)).astype(np.int64)
                 rest = pa.RecordBatch.from_arrays([batch.column(i).slice(begin, at - begin) for i in keep], names=[f"c{i}" for i in keep])
                 values = [first + made, len(number), to_ipc(rest), lengths.tobytes(), train.tobytes(), packed(ids.tobytes())]
-                values += [packed(class_of(hashes).astype(np.uint16).tobytes()), hashes.tobytes(), packed(counts.tobytes())]
+                values += [hashes.tobytes(), packed(counts.tobytes())]
                 yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64() if i < 2 else pa.binary()) for i, v in enumerate(values)], names=names)
                 made += 1
 
-    names = ["block", "n_words", "rest", "lengths", "train", "ids", "classes", "hashes", "counts"]
-    schema = "block long, n_words long, rest binary, lengths binary, train binary, ids binary, classes binary, hashes binary, counts binary"
+    names = ["block", "n_words", "rest", "lengths", "train", "ids", "hashes", "counts"]
+    schema = "block long, n_words long, rest binary, lengths binary, train binary, ids binary, hashes binary, counts binary"
     return stored(numbered(docs).mapInArrow(run, schema), "encoded")
 
 
@@ -112,8 +116,18 @@ def dealt(classes: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
         yield int(to[a]), slice(a, b)
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each hash among the distinct ones, and where each of these is found."""
+    order = np.lexsort((hashes[:, 1], hashes[:, 0], class_of(hashes)))
+    new = np.ones(len(order), bool)
+    new[1:] = (hashes[order][1:] != hashes[order][:-1]).any(axis=1)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return place, order[new]
+
+
 def count_words(blocks: DataFrame, buckets: int) -> DataFrame:
-    """(block, bucket, answer): training counts of the words that a block sent; block -1 has (class, tokens, words)."""
+    """(block, bucket, answer, places): training counts of the words that a block sent and their numbers in the bucket; block -1 has tokens, words and the most frequent words."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
@@ -127,25 +141,20 @@ def count_words(blocks: DataFrame, buckets: int) -> DataFrame:
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         hashes = np.frombuffer(b"".join(frame["hashes"]), np.uint64).reshape(-1, 2)
         counts = np.frombuffer(b"".join(map(unpacked, frame["counts"])), np.int64)
-        order = np.lexsort((hashes[:, 1], hashes[:, 0]))
-        new = np.ones(len(order), bool)
-        new[1:] = (hashes[order][1:] != hashes[order][:-1]).any(axis=1)
-        at = np.flatnonzero(new)
-        total = np.add.reduceat(counts[order], at)
-        back = np.empty(len(order), np.int64)
-        back[order] = total[np.cumsum(new) - 1]
+        place, first = distinct(hashes)
+        total = np.bincount(place, weights=counts, minlength=len(first)).astype(np.int64)
+        back = total[place]
         sizes = np.cumsum([len(h) // 16 for h in frame["hashes"]])
         answers = [packed(x.tobytes()) for x in np.split(back, sizes[:-1])]
-        known = total > 0
-        kind = class_of(hashes[order[at]])[known]
-        own, place = np.unique(kind, return_inverse=True)
-        tokens = np.bincount(place, weights=total[known], minlength=len(own)).astype(np.int64)
-        stats = np.stack([own, tokens, np.bincount(place, minlength=len(own))]).astype(np.int64)
+        top = np.argsort(-total, kind="stable")[:ANCHORS]
+        stats = np.concatenate([[total.sum(), (total > 0).sum()], total[top], hashes[first[top]].view(np.int64).ravel()]).astype(np.int64)
         blocks_of, buckets_of = [*frame["block"], -1], [*frame["bucket"], frame["bucket"].iloc[0]]
-        return pd.DataFrame({"block": blocks_of, "bucket": buckets_of, "answer": [*answers, stats.tobytes()]})
+        # a block has its words in the bucket's order: steps from one to the next are small
+        places = [packed(np.diff(x, prepend=0).astype(np.int32).tobytes()) for x in np.split(place, sizes[:-1])]
+        return pd.DataFrame({"block": blocks_of, "bucket": buckets_of, "answer": [*answers, stats.tobytes()], "places": [*places, b""]})
 
     sent = blocks.select("block", "hashes", "counts").mapInArrow(send, "bucket long, block long, hashes binary, counts binary")
-    return sent.groupBy("bucket").applyInPandas(add, "block long, bucket long, answer binary")
+    return sent.groupBy("bucket").applyInPandas(add, "block long, bucket long, answer binary, places binary")
 
 
 class Texts:
@@ -165,13 +174,13 @@ class Texts:
 
 
 class Model:
-    """start (K), move (K, K), emit (classes, K)."""
+    """start (K), move (K, K), emit (words, K): up to a factor for each word."""
 
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
         self.start, self.move, self.emit = start, move, emit
 
     def forward(self, seen: np.ndarray, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """Scaled forward values and their scales, in the order of `texts`; `seen` has the class of each token."""
+        """Scaled forward values and their scales, in the order of `texts`; `seen` has the word of each token."""
         alpha = self.emit[seen]
         scale = np.empty(len(seen), alpha.dtype)
         before = None
@@ -188,6 +197,8 @@ class Model:
     def expect(self, seen: np.ndarray, texts: Texts, sums: dict[str, np.ndarray]) -> None:
         """Add the expected counts of these texts to `sums`."""
         alpha, scale = self.forward(seen, texts)
+        if "log" in sums:
+            sums["log"] += np.log(scale).sum(dtype=np.float64)
         ahead = self.emit[seen] / scale[:, None]  # becomes emission x backward value / scale
         beta = np.ones_like(alpha)
         turn = np.ascontiguousarray(self.move.T)
@@ -216,14 +227,14 @@ def batches_of(lengths: np.ndarray, limit: int) -> Iterator[np.ndarray]:
             yield some
 
 
+def read_texts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths, training flags and word numbers."""
+    return np.frombuffer(row["lengths"], np.int32).astype(np.int64), np.frombuffer(row["train"], bool), np.frombuffer(unpacked(row["ids"]), np.int32)
+
+
 def read_block(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lengths, training flags, word numbers and the class of each number."""
-    return (
-        np.frombuffer(row["lengths"], np.int32).astype(np.int64),
-        np.frombuffer(row["train"], bool),
-        np.frombuffer(unpacked(row["ids"]), np.int32),
-        np.frombuffer(unpacked(row["classes"]), np.uint16),
-    )
+    """Lengths, training flags, word numbers and the hashes of each number."""
+    return *read_texts(row), np.frombuffer(row["hashes"], np.uint64).reshape(-1, 2)
 
 
 def side_by_side(ids: np.ndarray, lengths: np.ndarray, some: np.ndarray) -> tuple[Texts, np.ndarray]:
@@ -260,26 +271,30 @@ def summed(blocks: DataFrame, tasks: int, work, size: int) -> np.ndarray:
     return np.concatenate([found[k] for k in range(PARTS)]).astype(np.float64) if found else np.zeros(size)
 
 
-def first_model(blocks: DataFrame, tasks: int, tokens: np.ndarray, share: np.ndarray, states: int) -> Model:
-    """States that begin with groups of frequent classes which occur in the same documents."""
-    anchors = np.argsort(-tokens, kind="stable")[:ANCHORS]
-    column = np.full(CLASSES, -1)
-    column[anchors] = np.arange(ANCHORS)
+def column_of(hashes: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    """Which of the anchors, in order of their first half, each word is; -1 if none."""
+    at = np.minimum(np.searchsorted(anchors[:, 0], hashes[:, 0]), len(anchors) - 1)
+    return np.where((anchors[at] == hashes).all(axis=1), at, -1)
+
+
+def first_groups(blocks: DataFrame, tasks: int, anchors: np.ndarray, states: int) -> np.ndarray:
+    """A state for each of the frequent words `anchors`; those that occur in the same documents share it."""
+    n = len(anchors)
 
     def together(row: dict) -> np.ndarray:
-        lengths, train, ids, classes = read_block(row)
-        at = column[classes[ids]]
+        lengths, train, ids, hashes = read_block(row)
+        at = column_of(hashes, anchors)[ids]
         text = np.repeat(np.arange(len(lengths)), lengths)
         use = (at >= 0) & train[text]
-        has = np.zeros((len(lengths), ANCHORS), np.float32)
+        has = np.zeros((len(lengths), n), np.float32)
         has[text[use], at[use]] = 1
         return (has.T @ has).ravel().astype(np.float64)
 
-    shared = summed(blocks, tasks, together, ANCHORS * ANCHORS).reshape(ANCHORS, ANCHORS)
+    shared = summed(blocks, tasks, together, n * n).reshape(n, n)
     own = np.maximum(np.diag(shared), 1)
     profile = shared / own[:, None] - own / max(own.max(), 1)
     profile /= np.maximum(np.linalg.norm(profile, axis=1, keepdims=True), 1e-9)
-    centres = [0]
+    centres = [int(np.argmax(own))]
     while len(centres) < states:
         far = (1 - profile @ profile[centres].T).min(axis=1)
         centres.append(int(np.argmax(far)))
@@ -290,38 +305,110 @@ def first_model(blocks: DataFrame, tasks: int, tokens: np.ndarray, share: np.nda
             if (group == k).any():
                 centre[k] = profile[group == k].mean(axis=0)
                 centre[k] /= max(np.linalg.norm(centre[k]), 1e-9)
-    emit = np.tile(share[:, None], (1, states))
-    emit *= np.random.default_rng(SEED).uniform(0.95, 1.05, emit.shape)
-    emit[anchors] *= np.where(group[:, None] == np.arange(states), 4.0, 0.25)
-    return Model(np.full(states, 1 / states), np.full((states, states), 0.1 / states) + 0.9 * np.eye(states), emit / emit.sum(axis=0))
+    return group
+
+
+def first_ratios(hashes: np.ndarray, anchors: np.ndarray, group: np.ndarray, states: int) -> np.ndarray:
+    """Nearly 1, by the word's hash, but for the anchors."""
+    turns = np.random.default_rng(SEED).integers(0, 2**63, states, np.uint64) | np.uint64(1)
+    ratios = 0.95 + 0.1 * ((hashes[:, :1] * turns) >> np.uint64(40)).astype(np.float64) / 2**24
+    at = column_of(hashes, anchors)
+    some = np.flatnonzero(at >= 0)
+    ratios[some] *= np.where(group[at[some]][:, None] == np.arange(states), 4.0, 0.25)
+    return ratios
+
+
+def ratios_of(expected: np.ndarray, mass: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray:
+    """P(word | state) / share(word) from the expected counts (words, K) and the states' shares of all tokens."""
+    count = expected.sum(axis=1, keepdims=True) if counts is None else counts[:, None]  # a token's states add up to 1
+    return (1 - BACKGROUND) * (expected + 0.5 * mass) / (mass * (count + 0.5)) + BACKGROUND
+
+
+def packed_counts(expected: np.ndarray) -> bytes:
+    """Expected counts (words, K): a word's total and its states in steps of 1/65535 of it, by bytes of like weight."""
+    total = expected.sum(axis=1).astype(np.float32)
+    steps = np.rint(expected / np.maximum(total, 1e-30)[:, None] * 65535).T.astype(np.uint16)
+    planes = (steps >> 8).astype(np.uint8), (steps & 255).astype(np.uint8)
+    return packed(total.tobytes() + planes[0].tobytes() + planes[1].tobytes())
+
 
+def unpacked_counts(data: bytes, states: int) -> np.ndarray:
+    data = unpacked(data)
+    n = len(data) // (4 + 2 * states)
+    high, low = np.frombuffer(data, np.uint8, offset=4 * n).astype(np.uint16).reshape(2, states, n)
+    return np.frombuffer(data, np.float32, n)[:, None] * (((high << 8) | low).T / 65535.0)
 
-def train(blocks: DataFrame, tasks: int, tokens: np.ndarray, share: np.ndarray, states: int, rounds: int) -> Model:
-    """Baum-Welch over all training texts, `rounds` times; `share` is the classes' distribution in the corpus."""
-    model = first_model(blocks, tasks, tokens, share, states)
-    for _ in range(rounds):
-        now = Model(*[x.astype(np.float32) for x in (model.start, model.move, model.emit)])
 
-        def work(row: dict, now=now) -> np.ndarray:
-            lengths, training, ids, classes = read_block(row)
-            sums = {"start": np.zeros(states), "move": np.zeros((states, states)), "emit": np.zeros((CLASSES, states))}
+def expected_of(row: dict, states: int) -> np.ndarray:
+    return np.concatenate([unpacked_counts(a["answer"], states) for a in row["answers"]])
+
+
+def train_round(asked: DataFrame, states: int, start: np.ndarray, move: np.ndarray, ratios) -> DataFrame:
+    """(block, bucket, answer): expected counts of each block's words by state, in the whole corpus.
+
+    Block -1 has sums for the driver: of bucket -1 start, move and log likelihood, of the others the states' tokens.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = ["bucket", "block", "places", "counts"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        total = np.zeros(states + states * states + 1)
+        for row in rows_of(batches):
+            lengths, training, ids = read_texts(row)
+            now = Model(*[x.astype(np.float32) for x in (start, move, ratios(row))])
+            sums = {"start": np.zeros(states), "move": np.zeros((states, states)), "emit": np.zeros((len(now.emit), states)), "log": np.zeros(1)}
             of_training = np.flatnonzero(training)
             for some in batches_of(lengths[of_training], BATCH_TOKENS):
                 texts, seen = side_by_side(ids, lengths, of_training[some])
-                now.expect(classes[seen].astype(np.int64), texts, sums)
-            return np.concatenate([sums["start"], sums["move"].ravel(), sums["emit"].ravel()])
-
-        total = summed(blocks, tasks, work, states + states * states + CLASSES * states)
-        start, move, emit = np.split(total, [states, states + states * states])
-        start, move, emit = start + 1, move.reshape(states, states) + 1, emit.reshape(CLASSES, states)
-        mass = emit.sum(axis=0)
-        emit = np.where(mass > 0, emit / np.maximum(mass, 1e-9), share[:, None])
-        emit = (1 - BACKGROUND) * emit + BACKGROUND * share[:, None]
-        model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
-    return model
-
+                now.expect(seen, texts, sums)
+            total += np.concatenate([sums["start"], sums["move"].ravel(), sums["log"]])
+            at = 0
+            for part in row["placed"]:  # by bucket, as the words are
+                n = len(unpacked(part["answer"])) // 4
+                values = [part["bucket"], row["block"], part["answer"], packed_counts(sums["emit"][at : at + n])]
+                at += n
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([-1, -1, b"", packed(total.tobytes())], kinds)], names=names)
 
-def score_texts(docs: DataFrame, training: Column, states: int = STATES, rounds: int = ROUNDS, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        bucket = frame["bucket"].iloc[0]
+        if bucket < 0:
+            total = sum(np.frombuffer(unpacked(x), np.float64) for x in frame["counts"])
+            return pd.DataFrame({"block": [-1], "bucket": [bucket], "answer": [total.tobytes()]})
+        places = [np.cumsum(np.frombuffer(unpacked(x), np.int32)) for x in frame["places"]]
+        total = np.zeros((1 + max(int(x[-1]) for x in places), states))
+        for place, counts in zip(places, frame["counts"]):
+            total[place] += unpacked_counts(counts, states)  # a block names a word once
+        answers = [packed_counts(total[place]) for place in places]
+        total = unpacked_counts(packed_counts(total), states)  # as the blocks will see it
+        return pd.DataFrame({"block": [*frame["block"], -1], "bucket": bucket, "answer": [*answers, total.sum(axis=0).tobytes()]})
+
+    sent = asked.mapInArrow(work, "bucket long, block long, places binary, counts binary")
+    return stored(sent.groupBy("bucket").applyInPandas(add, "block long, bucket long, answer binary"), "expected")
+
+
+def train(blocks: DataFrame, tasks: int, anchors: np.ndarray, n_train: int, states: int, rounds: int | None):
+    """Baum-Welch over all training texts, to the end or `rounds` times: start, move, the states' shares, expected counts."""
+    anchors = anchors[np.argsort(anchors[:, 0], kind="stable")]
+    group = first_groups(blocks, tasks, anchors, states)
+    start, move = np.full(states, 1 / states), np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
+    asked, ratios = blocks.coalesce(tasks), lambda row: first_ratios(read_block(row)[3], anchors, group, states)
+    before, made = -np.inf, 0
+    while True:
+        expected = train_round(asked, states, start, move, ratios)
+        found = [(r["bucket"], np.frombuffer(bytes(r["answer"]), np.float64)) for r in expected.filter("block = -1").collect()]
+        begun, moved, (log,) = np.split(next(x for b, x in found if b < 0), [states, states + states * states])
+        mass = np.maximum(sum(x for b, x in found if b >= 0), 1e-3) / n_train
+        start, move = begun + 1, moved.reshape(states, states) + 1
+        start, move = start / start.sum(), move / move.sum(axis=1, keepdims=True)
+        made += 1
+        if made == rounds or log - before < GAIN * n_train:
+            return start, move, mass, expected.filter("block >= 0")
+        before = log
+        asked = with_answers(blocks.drop("hashes"), expected.filter("block >= 0"))
+        ratios = lambda row, mass=mass: ratios_of(expected_of(row, states), mass)
+
+
+def score_texts(docs: DataFrame, training: Column, states: int = STATES, rounds: int | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """`docs` with held_out, n_tokens, n_known, train_tokens, base_score and score (log10), the model being trained where `training` holds."""
     new = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     docs = drop_columns(docs, *new)
@@ -330,43 +417,46 @@ def score_texts(docs: DataFrame, training: Column, states: int = STATES, rounds:
     named, n_blocks = blocks.agg(F.sum("n_words"), F.count("*")).first()
     buckets = min(CLASSES, tasks_for(named or 0, BUCKET_WORDS))
     answers = stored(count_words(blocks, buckets), "counts")
-    tokens, words = np.zeros(CLASSES), np.zeros(CLASSES)
-    for (stats,) in answers.filter("block = -1").select("answer").collect():  # three numbers for each class in all
-        kind, n, v = np.frombuffer(bytes(stats), np.int64).reshape(3, -1)
-        tokens[kind], words[kind] = n, v
-    n_train, n_distinct = int(tokens.sum()), int(words.sum())
-    share = tokens + 0.5 * (words + 1)
-    per_class = share.copy()
-    share = share / share.sum()
-    training_blocks = blocks.select("lengths", "train", "ids", "classes")
+    stats = [np.frombuffer(bytes(r[0]), np.int64) for r in answers.filter("block = -1").select("answer").collect()]  # a few words of each bucket
+    n_train, n_distinct = sum(int(x[0]) for x in stats), sum(int(x[1]) for x in stats)
+    own = [(len(x) - 2) // 3 for x in stats]
+    often = np.concatenate([x[2 : 2 + n] for x, n in zip(stats, own)] or [np.zeros(0, np.int64)])
+    words = np.concatenate([x[2 + n :].view(np.uint64).reshape(-1, 2) for x, n in zip(stats, own)] or [np.zeros((0, 2), np.uint64)])
+    anchors = words[np.lexsort((words[:, 1], words[:, 0], -often))[:ANCHORS]]
+    start, move, mass, expected = np.full(states, 1 / states), np.eye(states), np.full(states, 1 / states), None
     if n_train:
-        # a partial sum is as large as the model: a task should have many times that in words
-        model = train(training_blocks, min(n_blocks, max(TASKS, tasks_for(named, BUCKET_WORDS // 2))), tokens, share, states, rounds)
-    else:
-        model = Model(np.full(states, 1 / states), np.eye(states), np.tile(share[:, None], (1, states)))
-    shared = docs.sparkSession.sparkContext.broadcast((model.start, model.move, model.emit))
+        placed = answers.filter("block >= 0").select("block", "bucket", F.col("places").alias("answer"))
+        training_blocks = blocks.select("block", "lengths", "train", "ids", "hashes")
+        training_blocks = stored(with_answers(training_blocks, placed).withColumnRenamed("answers", "placed"), "placed")
+        start, move, mass, expected = train(training_blocks, min(n_blocks, max(TASKS, tasks_for(named, BUCKET_WORDS // 2))), anchors, n_train, states, rounds)
     base = n_train + 0.5 * (n_distinct + 1)
+    expected_known = expected is not None
     kinds = [T.BooleanType(), T.LongType(), T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType()]
     out = T.StructType([*docs.schema.fields, *[T.StructField(n, t) for n, t in zip(new, kinds)]])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(*shared.value)
         for row in rows_of(batches):
-            lengths, train_flags, ids, classes = read_block(row)
-            counts = np.concatenate([np.frombuffer(unpacked(a["answer"]), np.int64) for a in row["answers"]])  # by bucket, as the words are
+            lengths, train_flags, ids = read_texts(row)
+            counts = np.concatenate([np.frombuffer(unpacked(a["answer"]), np.int64) for a in row["counted"]])  # by bucket, as the words are
+            ratios = ratios_of(expected_of(row, states), mass, counts) if expected_known else np.ones((len(counts), states))
+            model = Model(start, move, ratios)
             text = np.repeat(np.arange(len(lengths)), lengths)
             add_up = lambda x, text=text, n=len(lengths): np.bincount(text, weights=x, minlength=n)
-            scores = add_up(np.log10((counts + 0.5) / per_class[classes])[ids])
+            base_scores = add_up(np.log10((counts + 0.5) / base)[ids])
+            scores = base_scores.copy()
             for some in batches_of(lengths, BATCH_TOKENS):
                 texts, seen = side_by_side(ids, lengths, some)
-                _, scale = model.forward(classes[seen].astype(np.int64), texts)
+                _, scale = model.forward(seen, texts)
                 mine = np.bincount(texts.text, weights=np.log10(scale)[texts.place], minlength=len(some))
                 scores[some[texts.order]] += mine
-            base_scores = add_up(np.log10((counts + 0.5) / base)[ids])
             known = add_up((counts > 0)[ids]).astype(np.int64)
             values = [~train_flags, lengths, known, np.full(len(lengths), n_train), base_scores, scores]
             rest = from_ipc(row["rest"])
             yield pa.RecordBatch.from_arrays([*rest.columns, *map(pa.array, values)], names=out.names)
 
-    asked = with_answers(blocks.drop("counts", "hashes", "n_words"), answers.filter("block >= 0"))
+    asked = with_answers(blocks.drop("counts", "hashes", "n_words"), answers.filter("block >= 0").select("block", "bucket", "answer"))
+    if expected_known:
+        asked = with_answers(asked.withColumnRenamed("answers", "counted"), expected)
+    else:
+        asked = asked.withColumnRenamed("answers", "counted")
     return asked.mapInArrow(score, out)

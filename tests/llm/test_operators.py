@@ -174,6 +174,17 @@ def test_states_help_on_held_out_texts(spark):
     assert r[0] > 0.85 * r[1]
 
 
+def test_each_word_has_its_own_states(spark):
+    """Rare words that a small number of hash classes would throw together with frequent ones."""
+    chance = random.Random(3)
+    tongues = [[f"{c}{i}" for i in range(12000)] for c in "abcd"]
+    rows_of = [(i, " ".join([f"{'abcd'[i % 4]}{chance.randrange(12)}" for _ in range(20)] + chance.choices(tongues[i % 4], k=300))) for i in range(800)]
+    df = spark.createDataFrame(rows_of, "doc_id long, text string").repartition(3)
+    r = hmm.score_texts(df, F.col("doc_id") % 5 != 1).filter("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_known")).first()
+    # with every word known to one language, each is 4 times as likely as in the whole corpus
+    assert r[0] - r[1] > 0.8 * math.log10(4) * r[2]
+
+
 # 5. toxicity
 
 
