@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.llm import bpe_automaton, decontamination, hmm, quotations, shuffling, simhash, suffix_dedup, topk, toxicity, warc
+from forumlens.llm import bpe_automaton, byte_bpe, decontamination, hmm, quotations, repair, shuffling, simhash, suffix_dedup, topk, toxicity, warc
 from forumlens.llm.common import read, utf8_bytes
 
 TOKENIZER = "word_bpe_49k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,7 +72,35 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_automaton.encode_documents(docs, public_tokenizers.path(TOKENIZER), digests=True).drop("text")
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults, by the hash of conversation and turn."""
+    as_text = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    harm = F.crc32(F.encode(F.concat(as_text("conv_id"), F.lit(":"), as_text("turn")), "utf-8")) % 20
+    text = F.when(harm == 1, F.lit("")).when(harm == 2, F.regexp_replace(as_text("text"), "[.!?]", "")).otherwise(as_text("text"))
+    role = F.when(harm == 4, F.lit("user")).otherwise(as_text("role"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(harm == 3, 2).otherwise(1)))
+    return turns.filter(harm != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    found = repair.reports(repair.repair(damaged(turns)))
+    every = turns.select(F.col("conv_id").alias("conv")).distinct()
+    met = every.join(found, F.col("conv").eqNullSafe(F.col("conv_id")), "left")
+    numbers = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return met.select(F.col("conv").alias("conv_id"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    return byte_bpe.encode_documents(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, digests=True).drop("text")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_warc, op2_top_k, op3_simhash, op4_hmm, op5_toxicity, op6_quotations, op7_shuffle, op8_suffix_dedup, op9_decontamination, op10_bpe)
+    for f in (
+        op1_warc, op2_top_k, op3_simhash, op4_hmm, op5_toxicity, op6_quotations, op7_shuffle,
+        op8_suffix_dedup, op9_decontamination, op10_bpe, op12_repair, op13_byte_bpe,
+    )
 }
