@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.llm import bpe_automaton, byte_bpe, decontamination, hmm, quotations, repair, shuffling, simhash, suffix_dedup, topk, toxicity, warc
+from forumlens.llm import alignment, bpe_automaton, byte_bpe, decontamination, hmm, quotations, repair, shuffling, simhash, suffix_dedup, topk, toxicity, warc
 from forumlens.llm.common import read, utf8_bytes
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 RANKS = "byte_bpe_50k.tiktoken"
 
 
@@ -72,6 +73,12 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_automaton.encode_documents(docs, public_tokenizers.path(TOKENIZER), digests=True).drop("text")
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    paths = [public_tokenizers.path(name) for name in (BYTE_LEVEL, PIECES)]
+    return alignment.align_documents(docs, *paths, public_tokenizers.PATTERN).drop("text")
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """Conversations with faults, by the hash of conversation and turn."""
     as_text = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
@@ -101,6 +108,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_warc, op2_top_k, op3_simhash, op4_hmm, op5_toxicity, op6_quotations, op7_shuffle,
-        op8_suffix_dedup, op9_decontamination, op10_bpe, op12_repair, op13_byte_bpe,
+        op8_suffix_dedup, op9_decontamination, op10_bpe, op11_alignment, op12_repair, op13_byte_bpe,
     )
 }
