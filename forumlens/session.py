@@ -1,4 +1,4 @@
-"""Session settings and the one place that cuts lineage."""
+"""Session settings, the one place that cuts lineage, and how long what it writes lives."""
 
 from __future__ import annotations
 
@@ -6,11 +6,11 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[str] = []
-
 
 def build_session(app_name: str = "forumlens", master: str | None = None, **conf: str) -> SparkSession:
     builder = (
@@ -48,15 +48,97 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark then drops the shuffle files of a statement when it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def tables_read(df: DataFrame) -> set[str]:
+    """Paths of the tables that the plan of `df` reads, subqueries included."""
+    plan = df._jdf.queryExecution().analyzed()
+    below = plan.subqueriesAll()
+    found = set()
+    for tree in [plan, *[below.apply(i) for i in range(below.size())]]:
+        leaves = tree.collectLeaves()
+        for leaf in [leaves.apply(i) for i in range(leaves.size())]:
+            if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+                paths = leaf.relation().location().rootPaths()
+                found |= {paths.apply(i).toUri().getPath() for i in range(paths.size())}
+    return found
+
+
+class Scope:
+    """Stored tables that live as long as somebody can read them.
+
+    A stored table is whole once it is written, so a table it was made from has no reader left but the frames whose
+    plans still name it.
+    """
+
+    def __init__(self, spark: SparkSession, around: Scope | None = None):
+        self.spark, self.around = spark, around
+        self.tables: list[str] = []
+
+    def _drop(self, paths: list[str]) -> None:
+        configuration = self.spark._jsparkSession.sessionState().newHadoopConf()
+        for path in paths:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(configuration).delete(place, True)
+            self.tables.remove(path)
+
+    def _split(self, frames: tuple[DataFrame, ...]) -> tuple[list[str], list[str]]:
+        read = set().union(*map(tables_read, frames)) if frames else set()
+        is_read = {path: urlsplit(path).path in read for path in self.tables}
+        return [p for p in self.tables if is_read[p]], [p for p in self.tables if not is_read[p]]
+
+    def commit(self, *frames: DataFrame) -> None:
+        """End a round: of this scope's tables only those stay that the plans of `frames` read."""
+        self._drop(self._split(frames)[1])
+
+    def hand_over(self, *frames: DataFrame) -> None:
+        """What `frames` read belongs to the scope around from now on; with none around it stays with the session."""
+        read, _ = self._split(frames)
+        for path in read:
+            self.tables.remove(path)
+            if self.around is not None:
+                self.around.tables.append(path)
+
+
+_scope: ContextVar[Scope | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def lifetimes(spark: SparkSession) -> Iterator[Scope]:
+    """Tables that `stored` writes inside the block are deleted when it ends, but for those handed over.
+
+    Blocks nest: a function that returns a lazy frame hands it over, and whoever runs it owns its tables. A block
+    belongs to its thread; threads begun inside have none, so their tables stay with the session.
+    """
+    scope = Scope(spark, _scope.get())
+    token = _scope.set(scope)
+    try:
+        yield scope
+    finally:
+        _scope.reset(token)
+        scope.commit()
+
+
 def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write `df` as a table in the shared folder and go on from there.
 
-    Cuts the lineage, survives lost executors, and gives later joins the true size.
+    Cuts the lineage, survives lost executors, and gives later joins the true size. The shuffle files of the write are
+    dropped with it; the table lives as the scope says (`lifetimes`), or else as long as the session's folder.
     """
-    path = scratch_path(df.sparkSession, name)
-    _written.append(path)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    scope = _scope.get()
+    if scope is not None:
+        scope.tables.append(path)
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.partitionBy(*partition_by).parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
@@ -65,14 +147,8 @@ def scratch_removed(spark: SparkSession) -> Iterator[None]:
 
     Only for jobs whose results are written elsewhere by then.
     """
-    kept_before = list(_written)
-    try:
+    with lifetimes(spark):
         yield
-    finally:
-        for path in [p for p in _written if p not in kept_before]:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
-            _written.remove(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
