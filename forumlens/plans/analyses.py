@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from forumlens.operators.relations import answered, label_answered, unanswered, with_tags
 from forumlens.operators.selection import tag_counts
 from forumlens.session import stored
+from forumlens.sources.question_store import QuestionStore
 from forumlens.sources.writers import write_result
 
 
@@ -104,6 +105,16 @@ def mean_tags_per_question(questions: DataFrame, tags: DataFrame) -> DataFrame:
 def analyse(questions: DataFrame, answers: DataFrame, tags: DataFrame) -> dict[str, DataFrame]:
     """All analyses by name, from three stored aggregates instead of one scan and join for each."""
     labelled = stored(label_answered(questions.select("id", "creation_date", "score"), answers), "labelled")
+    return _reports(labelled, with_tags(labelled, tags), tags_per_question(labelled.select("id", "score", "label"), tags))
+
+
+def analyse_store(store: QuestionStore) -> dict[str, DataFrame]:
+    """The same from tables laid out by question id: no join shuffles."""
+    labelled = store.labelled("creation_date", "score")
+    return _reports(labelled, store.tagged(labelled), store.tag_counts(labelled.select("id", "score", "label")))
+
+
+def _reports(labelled: DataFrame, tagged: DataFrame, tag_counts_by_id: DataFrame) -> dict[str, DataFrame]:
     calendar = stored(
         labelled.groupBy(F.year("creation_date").alias("year"), F.month("creation_date").alias("month")).agg(
             F.count("*").alias("asked"), F.sum("label").alias("answered")
@@ -111,9 +122,7 @@ def analyse(questions: DataFrame, answers: DataFrame, tags: DataFrame) -> dict[s
         "calendar",
     )
     totals = stored(
-        with_tags(labelled, tags)
-        .groupBy("tag")
-        .agg(
+        tagged.groupBy("tag").agg(
             F.count("*").alias("all"),
             F.sum("label").alias("answered"),
             F.sum(1 - F.col("label")).alias("unanswered"),
@@ -121,7 +130,7 @@ def analyse(questions: DataFrame, answers: DataFrame, tags: DataFrame) -> dict[s
         ),
         "tag-totals",
     )
-    counted = stored(tags_per_question(labelled.select("id", "score", "label"), tags), "tag-counts")
+    counted = stored(tag_counts_by_id, "tag-counts")
 
     def months(key: str, name: str, measure: str) -> DataFrame:
         sums = calendar.groupBy(F.col(key).alias(name)).agg(F.sum(measure).alias("count"))
@@ -154,11 +163,14 @@ def write_analyses(
     file_format: str = "parquet",
     mode: str = "errorifexists",
     single_files: bool = False,
+    store: QuestionStore | None = None,
 ) -> dict[str, str]:
     """Write every analysis and return its path. With `single_files` the reports, but not the table with
-    one row per question, are one file each: only for as many tags as one task can sort."""
+    one row per question, are one file each: only for as many tags as one task can sort. `store` holds the same
+    tables laid out by question id, and is read in their place."""
     paths = {}
-    for name, df in analyse(questions, answers, tags).items():
+    reports = analyse(questions, answers, tags) if store is None else analyse_store(store)
+    for name, df in reports.items():
         per_question = name == "question_score_tag_count"
         result = df.select("score", "tag_count") if per_question else df
         paths[name] = write_result(

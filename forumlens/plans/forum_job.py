@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from forumlens.plans import analyses, answer_model, tag_model
 from forumlens.plans.training import Grid, Settings
-from forumlens.session import scratch_removed
-from forumlens.sources.forum_csv import convert_to_parquet, load_table
+from forumlens.session import lifetimes, scratch_removed
+from forumlens.sources.forum_csv import load_table
+from forumlens.sources.question_store import QuestionStore, write_store
 from forumlens.sources.schemas import ANSWERS, QUESTIONS, TAGS
 from forumlens.sources.writers import write_result
 
@@ -19,6 +20,7 @@ class Forum:
     questions: DataFrame
     answers: DataFrame
     tags: DataFrame
+    layout: QuestionStore | None = None
 
 
 def store_forum(
@@ -29,8 +31,9 @@ def store_forum(
     store: str,
     *,
     split_files: bool = True,
+    buckets: int | None = None,
 ) -> Forum:
-    """Convert the three CSV tables to Parquet below `store`, rejects apart, and open the copies."""
+    """Convert the three CSV tables to Parquet below `store`, laid out by question id, rejects apart, and open the copies."""
     tables = {}
     for name, path, schema in (
         ("questions", questions_path, QUESTIONS),
@@ -38,9 +41,16 @@ def store_forum(
         ("tags", tags_path, TAGS),
     ):
         table = load_table(spark, path, schema, split_files=split_files)
-        convert_to_parquet(table, f"{store}/{name}", f"{store}/{name}_rejects")
-        tables[name] = spark.read.schema(table.rows.schema).parquet(f"{store}/{name}")
-    return Forum(**tables)
+        table.rejects.write.parquet(f"{store}/{name}_rejects")
+        tables[name] = table.rows
+    with lifetimes(spark):
+        layout = write_store(*tables.values(), store, buckets)
+    return opened(layout)
+
+
+def opened(layout: QuestionStore) -> Forum:
+    """A forum over a store that stands already (`question_store.open_store`)."""
+    return Forum(layout.questions, layout.answers, layout.all_tags(), layout)
 
 
 def run_tag_prediction(
@@ -85,6 +95,6 @@ def _write_validation(model, output: str, name: str, settings: Settings, grid: G
 def run(forum: Forum, output: str) -> None:
     """Analyses and both predictions, without cross validation. Its scratch tables are gone when it ends."""
     with scratch_removed(forum.questions.sparkSession):
-        analyses.write_analyses(forum.questions, forum.answers, forum.tags, output)
+        analyses.write_analyses(forum.questions, forum.answers, forum.tags, output, store=forum.layout)
         run_tag_prediction(forum, output)
         run_answer_prediction(forum, output)
