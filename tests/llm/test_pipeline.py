@@ -1,8 +1,11 @@
-import random
+import re
 from itertools import combinations
 
 import duckdb
+import public_tokenizers
 import pytest
+import tokenizers
+import xxhash
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
@@ -13,7 +16,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
-    assert [name for name in QUERIES] == sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0])) and len(QUERIES) == 10
+    assert [name for name in QUERIES] == sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0])) and len(QUERIES) == 13
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n in oracle_sql()])
@@ -47,28 +50,91 @@ def test_whole_run(spark):
     assert out.select("doc_id").distinct().count() == out.count()
 
 
-def test_near_copies_go_whole(spark):
-    """The second stage against all pairs: copies with some words replaced, chains of them, a common passage."""
-    chance = random.Random(4)
-    word = lambda: f"w{chance.randrange(3000)}"
-    passage = [word() for _ in range(30)]
-    made = []
-    for base in range(25):
-        text = [word() for _ in range(chance.randrange(3, 300))] + (passage if base % 2 else [])
-        for copy in range(8):
-            made.append(" ".join(text))
-            near = [word() if chance.random() < (0.005, 0.01, 0.02)[copy % 3] else w for w in text]
-            text = near if base % 3 else near[: chance.randrange(len(near) * 4 // 5, len(near) + 1)]
-    chance.shuffle(made)
-    sets = []
-    for text in made:
-        words = text.split()
-        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
-    label = list(range(len(made)))
-    for i, j in combinations(label[:], 2):
-        if 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j])):
-            x, y = sorted((label[i], label[j]))
-            label = [x if k == y else k for k in label]
-    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(3)
-    kept = corpus_pipeline.remove_near_duplicates(spark, docs, "")
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(label))
+def plain_print(text):
+    """The fingerprint by the contract's words."""
+    words = [w for w in re.split("[ \t\n\v\f\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    parts = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_near_duplicates_equal_all_pairs(spark):
+    """The second stage on a whole table, and on it twice over."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    prints = [plain_print(r["text"]) for r in rows]
+    label = {r["doc_id"]: r["doc_id"] for r in rows}
+    for (a, x), (b, y) in combinations(zip([r["doc_id"] for r in rows], prints), 2):
+        if (x ^ y).bit_count() <= 4 and label[a] != label[b]:
+            low, high = sorted((label[a], label[b]))
+            label = {d: low if at == high else at for d, at in label.items()}
+    want = sorted(set(label.values()))
+    assert len(want) < len(rows)
+    for given in (docs, docs.union(docs)):
+        kept = corpus_pipeline.remove_near_duplicates(spark, given, "")
+        assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == want
+
+
+NAMES = ["n_words", "is_toxic", "n_bytes", "Hits", "N_Removed", "p_toxic", "words", "kept", "block", "print", "component_id", "row", "to", "items", "contaminated", "a.b", "kept3", "label"]
+
+
+def test_clashing_columns_stay(spark, tmp_path):
+    """Names that operators use inside, each with values of its own, through every stage."""
+    toxic = ["scum and trash you worthless moron"] * 12
+    clean = [f"a quiet walk number{i} along the river bank with friends" for i in range(30)]
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    texts = [*toxic, *clean, clean[0], f"{item} and", "shared passage of words that is long enough to be a repeat " + "x", "shared passage of words that is long enough to be a repeat " + "y"]
+    texts = [f"{t} doc{i}" if t in toxic else t for i, t in enumerate(texts)]
+    values = [(i, t, *[f"{n}{i}" for n in NAMES], len(t)) for i, t in enumerate(texts)]
+    schema = ", ".join(["doc_id long", "text string", *[f"`{n}` string" for n in NAMES], "n_chars int"])
+    docs = spark.createDataFrame(values, schema)
+    spark.createDataFrame([(i, 1, int(i < 12)) for i in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([("i", item)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    gone = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = {r["doc_id"] for r in docs.select("doc_id").collect()}
+        docs = stage(spark, docs, str(tmp_path))
+        rows = docs.collect()
+        gone[name] = before - {r["doc_id"] for r in rows}
+        assert docs.columns[: 3 + len(NAMES)] == ["doc_id", "text", *NAMES, "n_chars"]
+        for r in rows:
+            assert [r[n] for n in NAMES] == [f"{n}{r['doc_id']}" for n in NAMES]
+            assert r["n_chars"] == len(r["text"])
+    assert gone["toxicity"] == set(range(12))
+    assert gone["near duplicates"] >= {42} and gone["near duplicates"] <= {42, 44, 45}
+    assert gone["repeated strings"] == set() and gone["tokens"] == set()
+    assert gone["decontamination"] == {43}
+
+
+def test_whole_run_equals_its_stages_in_plain_python(spark):
+    """By doc_id, text and ids: near duplicates, repeats, contamination and tokens of what the fitted chain keeps."""
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    kept = {r["doc_id"]: r["text"] for r in stages["near duplicates"](spark, stages["toxicity"](spark, docs, FOLDER), FOLDER).select("doc_id", "text").collect()}
+    texts, seen = {}, {}
+    for doc, text in sorted(kept.items()):
+        raw = (text or "").encode()
+        cover = bytearray(len(raw))
+        for i in range(len(raw) - 49):
+            if seen.setdefault(raw[i : i + 50], doc) < doc:
+                cover[i : i + 50] = b"\1" * 50
+        texts[doc] = bytes(b for b, c in zip(raw, cover) if not c).decode(errors="ignore")
+    word = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    split = lambda t: [w.decode() for w in word.findall(re.sub(rb"[A-Z]", lambda m: m[0].lower(), t.encode()))]
+    windows = set()
+    for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect():
+        words = split(r["text"] or "")
+        windows |= {tuple(words[i : i + 13]) for i in range(max(1, len(words) - 12))} if words else set()
+    lengths = {len(w) for w in windows}
+    library, want = tokenizers.Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.TOKENIZER)), {}
+    for doc, text in texts.items():
+        words = split(text)
+        hit = set()
+        for n in lengths:
+            for i in range(len(words) - n + 1):
+                if tuple(words[i : i + n]) in windows:
+                    hit |= set(range(i, i + n))
+        if not hit or 20 * len(hit) < len(words):
+            want[doc] = (text, library.encode(text, add_special_tokens=False).ids)
+    found = {r["doc_id"]: (r["text"] or "", r["token_ids"]) for r in corpus_pipeline.run(spark, FOLDER).collect()}
+    assert len(want) < len(kept) and found == want
