@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from forumlens.functions.stopwords import ENGLISH_STOPWORDS
 from forumlens.functions.text import PUNCTUATION
+from forumlens.plans.model_sql import CERTIFIED, CLASS_MEANS, FEATURES, bucket_ctes
 from forumlens.plans.stem_sql import stem_ctes
 
 
@@ -247,3 +248,30 @@ select round(avg(correct / support), 6) balanced_accuracy from report where supp
     "csv_to_parquet": f"""with {POSTS}
 select id, owner_user_id, creation_date, score from posts""",
 }
+
+ORACLES["store_reports"] = ORACLES["analysis_reports"]
+ORACLES["store_tag_scores"] = f"""{FORUM}
+select id, score, cast(id in (select parent_id from replies) as integer) as label, tag from posts join post_tags using (id)"""
+
+HASHED = f"with {TERMS},\n{bucket_ctes('terms')}"
+MODEL = f"{HASHED},\n{FEATURES},\n{CLASS_MEANS}"
+
+ORACLES |= {
+    "hashed_terms": f"{HASHED} select doc_id, bucket, cast(sum(n) as bigint) tf from terms join buckets using (word) group by 1, 2",
+    "bucket_collisions": f"""{HASHED}
+select bucket, count(*) words, cast(sum(n) as bigint) total_count, cast(max(n) as bigint) largest
+from (select word, sum(n) n from terms group by 1) join buckets using (word) group by 1""",
+    "model_coefficients": f"{MODEL} select feature, class, round(coefficient, 6) as coefficient from coefficients",
+    "scored_probabilities": f"{MODEL} select id, tag, round(probability, 6) as probability from scored",
+    "ranked_tags": f"""{MODEL}
+select id, cast(place as integer) as rank, tag, round(probability, 6) as probability
+from (select *, row_number() over (partition by id order by probability desc, class) place from scored) where place <= 3""",
+    "model_loss": f"""{MODEL}, {CERTIFIED},
+means as (select count(*) n, avg(ln(total) + most - margin) log_loss from scored s join labels_of l on s.id = l.id and s.tag = l.tag),
+costs as (select sum(0.03 * abs(coefficient * scale) + 0.035 * (coefficient * scale) * (coefficient * scale)) penalty from coefficients join scales using (feature))
+select n as "rows", round(log_loss, 6) as log_loss, round(penalty, 6) as penalty, round(log_loss + penalty, 6) as loss from means, costs""",
+    "model_gradient": f"""{MODEL}, {CERTIFIED}
+select feature, class, round(coefficient, 6) as coefficient, round(gradient, 6) as gradient,
+       round(case when feature < 0 then abs(gradient) when coefficient = 0 then greatest(abs(gradient) - 0.03, 0) else abs(gradient + 0.03 * sign(coefficient)) end, 6) as gap
+from gradient""",
+}

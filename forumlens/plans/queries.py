@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.functions.text import clean_words, is_stopword, split_words, strip_html, strip_punctuation
-from forumlens.operators import features, metrics, relations, selection, splitting, stemming, terms
+from forumlens.operators import features, hashed_terms as hashing, linear_model, metrics, relations, selection, splitting, stemming, terms
 from forumlens.plans import analyses, answer_model, tag_model
 from forumlens.plans.training import row_counts
 from forumlens.session import scratch_path, stored
-from forumlens.sources import forum_csv, schemas
+from forumlens.sources import forum_csv, question_store, schemas
 from forumlens.sources import sample_tables as sample
 from forumlens.sources.writers import write_result
 
@@ -123,7 +123,24 @@ def mean_tags_per_post(spark, folder):
 def analysis_reports(spark, folder):
     """All reports of the joint run in one long table; the mean in millionths, the tag counts by question id."""
     tags = stored(sample.post_tags(spark, folder), "post-tags")
-    reports = analyses.analyse(_posts(spark, folder), sample.replies(spark, folder), tags)
+    return _long_table(analyses.analyse(_posts(spark, folder), sample.replies(spark, folder), tags))
+
+
+def store_reports(spark, folder):
+    """The same reports from a store laid out by question id, written here."""
+    tags, path = sample.post_tags(spark, folder), scratch_path(spark, "store")
+    store = question_store.write_store(_posts(spark, folder), sample.replies(spark, folder), tags, path)
+    return _long_table(analyses.analyse_store(store))
+
+
+def store_tag_scores(spark, folder):
+    """Questions of the store with their label and each of their tags."""
+    path = scratch_path(spark, "store")
+    store = question_store.write_store(_posts(spark, folder), sample.replies(spark, folder), sample.post_tags(spark, folder), path)
+    return store.tagged(store.labelled("score"))
+
+
+def _long_table(reports: dict[str, DataFrame]) -> DataFrame:
     reports["question_score_tag_count"] = reports["question_score_tag_count"].select("id", "tag_count")
     mean = F.round(F.col("mean_tags") * 1000000).alias("mean_tags")
     reports["mean_tags_per_question"] = reports["mean_tags_per_question"].select(F.lit("millionths").alias("unit"), mean)
@@ -264,6 +281,74 @@ def tf_idf(spark, folder):
     return weights.select("doc_id", "word", "n", F.round("tf_idf", 6).alias("tf_idf"))
 
 
+# Hashed terms and the model as tables
+
+
+def _document_words(spark: SparkSession, folder: str) -> DataFrame:
+    words = split_words(strip_punctuation(F.lower("text")))
+    return sample.documents(spark, folder).select("doc_id", words.alias("words"))
+
+
+def hashed_terms(spark, folder):
+    return hashing.hashed_terms(_document_words(spark, folder), "doc_id", F.col("words"))
+
+
+def bucket_collisions(spark, folder):
+    return hashing.bucket_collisions(stored(terms.vocabulary(_document_terms(spark, folder)), "vocabulary"))
+
+
+def _language_model(spark: SparkSession, folder: str) -> tuple[linear_model.LinearModel, DataFrame, DataFrame]:
+    """Mean hashed TF-IDF of each language as a linear model, with the terms (id, feature, value) and the labels (id, name)."""
+    counted = stored(hashed_terms(spark, folder), "hashed")
+    documents = sample.table(spark, folder, "documents")
+    idf = terms.inverse_document_frequency(counted.withColumnRenamed("bucket", "word"), documents)
+    idf = F.broadcast(idf.select(F.col("word").alias("bucket"), "idf"))  # as many rows as there are buckets
+    value = (F.col("tf") * F.col("idf") / 100).alias("value")
+    weighted = stored(counted.join(idf, "bucket").select(F.col("doc_id").alias("id"), F.col("bucket").alias("feature"), value), "weighted")
+    labels = documents.select(F.col("doc_id").alias("id"), F.col("lang").alias("name"))
+    model = linear_model.class_means(weighted, labels)
+    return linear_model.LinearModel(stored(model.coefficients, "coefficients"), model.intercepts), weighted, labels
+
+
+def model_coefficients(spark, folder):
+    return _language_model(spark, folder)[0].coefficients.withColumn("coefficient", F.round("coefficient", 6))
+
+
+def scored_probabilities(spark, folder):
+    """Probability of each language for each document."""
+    model, weighted, labels = _language_model(spark, folder)
+    scored = linear_model.scored_classes(model, linear_model.probabilities(model, weighted, labels))
+    return scored.select("id", F.col("name").alias("tag"), F.round("probability", 6).alias("probability"))
+
+
+def ranked_tags(spark, folder):
+    """The three most likely languages of each document."""
+    model, weighted, labels = _language_model(spark, folder)
+    ranked = linear_model.ranked_classes(model, linear_model.probabilities(model, weighted, labels))
+    return ranked.select("id", "rank", F.col("name").alias("tag"), F.round("probability", 6).alias("probability"))
+
+
+def _classed(model: linear_model.LinearModel, labels: DataFrame) -> DataFrame:
+    return labels.join(F.broadcast(model.intercepts.select("name", "class")), "name").select("id", "class")
+
+
+PENALTY = linear_model.Penalty(reg_param=0.1, elastic_net_param=0.3)
+
+
+def model_loss(spark, folder):
+    """The penalised loss at the language model's coefficients."""
+    model, weighted, labels = _language_model(spark, folder)
+    found = linear_model.penalised_loss(model, weighted, _classed(model, labels), PENALTY)
+    return found.select("rows", *[F.round(c, 6).alias(c) for c in ("log_loss", "penalty", "loss")])
+
+
+def model_gradient(spark, folder):
+    """Gradient of the loss's smooth part there, and the distance from optimality, by coefficient."""
+    model, weighted, labels = _language_model(spark, folder)
+    found = linear_model.optimality_gaps(linear_model.loss_gradient(model, weighted, _classed(model, labels), PENALTY), PENALTY)
+    return found.select("feature", "class", *[F.round(c, 6).alias(c) for c in ("coefficient", "gradient", "gap")])
+
+
 # Metrics
 
 
@@ -445,6 +530,8 @@ QUERIES: dict[str, Query] = {
     "post_score_tag_count": post_score_tag_count,
     "mean_tags_per_post": mean_tags_per_post,
     "analysis_reports": analysis_reports,
+    "store_reports": store_reports,
+    "store_tag_scores": store_tag_scores,
     "answered_posts": answered_posts,
     "unanswered_posts": unanswered_posts,
     "high_score_post_tags": high_score_post_tags,
@@ -470,6 +557,13 @@ QUERIES: dict[str, Query] = {
     "stem_vocabulary": stem_vocabulary,
     "idf": idf,
     "tf_idf": tf_idf,
+    "hashed_terms": hashed_terms,
+    "bucket_collisions": bucket_collisions,
+    "model_coefficients": model_coefficients,
+    "scored_probabilities": scored_probabilities,
+    "ranked_tags": ranked_tags,
+    "model_loss": model_loss,
+    "model_gradient": model_gradient,
     "confusion_matrix": confusion_matrix,
     "class_report": class_report,
     "accuracy": accuracy,
