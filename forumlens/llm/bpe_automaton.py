@@ -9,7 +9,8 @@ table has one entry for each merge, and an arc is looked up by following the cop
 (`Automaton.arc`); arcs that have been looked up stay in a table.
 
 A word is encoded from left to right by table-driven transitions: the last token of each prefix is
-the one token that ends there and has an arc from the state its start was left in. Since the automaton
+the one token that ends there and has an arc from the state its start was left in. A trie of the labels, read
+from their ends, gives those that end at a place and no others. Since the automaton
 is deterministic, there is exactly one. Decoding emits the labels of the arcs on the path.
 
 Text is normalised and split as the tokenizer file says (NFC, white space, lower case; letters, digits,
@@ -35,8 +36,8 @@ from pyspark.sql import types as T
 
 from forumlens.llm.common import drop_columns, map_batches
 
-#: Words and arcs that a Python worker remembers, at most; then it starts anew. Results don't depend on it.
-REMEMBERED = 200_000
+#: Words of a generation, of which a Python worker remembers two, and arcs that it remembers. Results don't depend on them.
+REMEMBERED, ARCS = 150_000, 400_000
 #: Rows that a worker holds the tokens of at once.
 ROWS = 256
 #: Here the Unicode versions of Python and of the tokenizers library part: the library's own normaliser and splitter read such texts.
@@ -56,7 +57,7 @@ class Automaton:
         self.base = base
         self.parts: list[tuple[int, int]] = [(-1, -1)] * base
         self.cut: dict[tuple[int, int], int] = {}  # arcs that a gadget took away, and when
-        self.known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}
         self.reached = [True] * base  # a token whose gadget found no path stays without arcs
         for left, right in merges:
             u, v, w = self.number[left], self.number[right], len(self.labels)
@@ -68,7 +69,6 @@ class Automaton:
             self.number[left + right] = w
             self.parts.append((u, v))
         self.known.clear()
-        self.longest = max(map(len, self.labels), default=0)
 
     def arc(self, state: int, token: int) -> bool:
         """Whether the state after one token has an arc for another, now."""
@@ -85,34 +85,68 @@ class Automaton:
             else:
                 return True
 
-    def path(self, word: str, end: str) -> list[int]:
-        """The tokens of the path that spells `word`, whose last symbol carries the mark `end`."""
+    def compile(self, end: str) -> None:
+        """A trie of the labels that are reached, read from their ends: one for labels with the mark `end`, one for the others."""
+        self.end = end
+        self.width = 1 + max(map(ord, "".join(self.labels)), default=0)
+        self.tries: tuple[dict[int, int], dict[int, int]] = ({}, {})  # (node, symbol) -> node
+        self.tokens: tuple[list[int], list[int]] = ([-1], [-1])  # the token whose label ends at a node, or -1
+        for token, label in enumerate(self.labels):
+            if not self.reached[token]:
+                continue
+            marked = bool(end) and label.endswith(end)
+            trie, tokens, node = self.tries[marked], self.tokens[marked], 0
+            for symbol in reversed(label[: len(label) - len(end)] if marked else label):
+                key = node * self.width + ord(symbol)
+                if key not in trie:
+                    trie[key] = len(tokens)
+                    tokens.append(-1)
+                node = trie[key]
+            tokens[node] = token
+        if not end:
+            self.tries, self.tokens = (self.tries[0],) * 2, (self.tokens[0],) * 2
+
+    def path(self, word: str) -> list[int]:
+        """The tokens of the path that spells `word`, whose last symbol carries the mark."""
         size = len(word)
+        if not size:
+            return []
+        symbols = list(map(ord, word))
         last = [-1] * (size + 1)  # the state in which each prefix leaves the automaton
-        number, known, reached, longest = self.number, self.known, self.reached, self.longest
+        width, known, count = self.width, self.known, len(self.labels)
+        trie, tokens = self.tries[0], self.tokens[0]
         for stop in range(1, size + 1):
-            mark = end if stop == size else ""
-            for start in range(stop - 1, max(-1, stop - longest - 1), -1):  # one start fits, whatever the order
-                token = number.get(word[start:stop] + mark)
-                if token is None or not reached[token]:
+            if stop == size:
+                trie, tokens = self.tries[1], self.tokens[1]
+            node, start = 0, stop
+            while start:
+                start -= 1
+                node = trie.get(node * width + symbols[start])
+                if node is None:  # no label goes on
+                    break
+                token = tokens[node]
+                if token < 0:
                     continue
-                if start:
-                    step = (last[start], token)
+                if start:  # one start fits, whatever the order
+                    before = last[start]
+                    if before < 0:
+                        continue
+                    step = before * count + token
                     fits = known.get(step)
                     if fits is None:
-                        fits = known[step] = self.arc(*step)
+                        fits = known[step] = self.arc(before, token)
                     if not fits:
                         continue
                 last[stop] = token
                 break
-        tokens, stop = [], size
+        if len(known) > ARCS:
+            known.clear()
+        found, stop, end = [], size, len(self.end)
         while stop > 0:
             token = last[stop]
-            tokens.append(token)
-            stop -= len(self.labels[token]) - (len(end) if stop == size else 0)
-        if len(known) > REMEMBERED:
-            known.clear()
-        return tokens[::-1]
+            found.append(token)
+            stop -= len(self.labels[token]) - (end if stop == size else 0)
+        return found[::-1]
 
 
 def byte_symbols() -> list[str]:
@@ -134,6 +168,7 @@ class Tokenizer:
         made = {a + b for a, b in merges}
         symbols = [s for s in model["vocab"] if s not in made]
         self.automaton = Automaton(symbols, merges, model["vocab"])
+        self.automaton.compile(self.end)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.split_special = regex.compile("(" + "|".join(names) + ")") if names else None
@@ -143,6 +178,7 @@ class Tokenizer:
         self.bytes = byte_symbols()
         self.table = str.maketrans({chr(b): s for b, s in enumerate(self.bytes)})
         self.cache: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
 
     def normalise(self, text: str) -> str:
         text = text if text.isascii() else unicodedata.normalize("NFC", text)
@@ -153,7 +189,7 @@ class Tokenizer:
     def word(self, symbols: str) -> tuple[int, str, str]:
         """Number of tokens, their ids and their labels, joined by spaces."""
         a = self.automaton
-        labels = [a.labels[t] for t in a.path(symbols, self.end)]
+        labels = [a.labels[t] for t in a.path(symbols)]
         return len(labels), " ".join([str(a.ids[x]) for x in labels]), " ".join(labels)
 
     def split(self, text: str) -> list[str]:
@@ -173,9 +209,9 @@ class Tokenizer:
                 continue
             words = self.split(part)
             if len(cache) > REMEMBERED:
-                cache.clear()
+                self.older, self.cache = cache, (cache := {})
             for w in set(words).difference(cache):
-                cache[w] = self.word(w[1:] if w[0] == BYTES else w.encode().decode("latin-1").translate(self.table))
+                cache[w] = self.older.get(w) or self.word(w[1:] if w[0] == BYTES else w.encode().decode("latin-1").translate(self.table))
             found += map(cache.__getitem__, words)
         return found
 

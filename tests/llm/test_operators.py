@@ -364,6 +364,7 @@ def test_automaton_equals_the_merge_loop():
     symbols = ["a", "b", "a</w>", "b</w>"]
     ids = {s: i for i, s in enumerate([*symbols, *(x + y for x, y in merges)])}
     automaton = bpe_automaton.Automaton(symbols, merges, ids)
+    automaton.compile("</w>")
     assert made <= set(automaton.labels)
     for n in range(1, 10):
         for word in map("".join, itertools.product("ab", repeat=n)):
@@ -374,4 +375,4 @@ def test_automaton_equals_the_merge_loop():
                     if (parts[i], parts[i + 1]) == pair:
                         parts[i : i + 2] = ["".join(pair)]
                     i += 1
-            assert [automaton.labels[t] for t in automaton.path(word, "</w>")] == parts, word
+            assert [automaton.labels[t] for t in automaton.path(word)] == parts, word
