@@ -1,10 +1,12 @@
 import csv
 import datetime
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from forumlens.sources import writers
 from forumlens.sources.forum_csv import convert_to_parquet, load_table
 from forumlens.sources.schemas import ANSWERS, QUESTIONS, TAGS
 from forumlens.sources.writers import write_result
@@ -148,3 +150,41 @@ def test_split_scan_names_a_file_with_stray_quotes(spark, tmp_path):
     (tmp_path / "open.csv").write_text('Id,Tag\n1,a\n2,"never closed\n3,b\n')
     with pytest.raises(Exception, match="stray quote.*open.csv"):
         load_table(spark, str(tmp_path / "open.csv"), TAGS, split_files=True).rows.collect()
+
+
+def csv_lines(path):
+    (file,) = [f for f in os.listdir(path) if f.startswith("part-") and not f.endswith(".crc")]
+    with open(f"{path}/{file}", newline="") as opened:
+        return opened.read()
+
+
+@pytest.mark.parametrize("header", [False, True])
+def test_a_sorted_report_is_joined_in_order(spark, tmp_path, header):
+    """Many parts of a few rows each; quotes, line breaks, nulls and non-ASCII letters come through."""
+    odd = F.when(F.col("id") % 7 == 0, F.lit('a "b", c\nd')).when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.lit("é, 日"))
+    df = spark.range(2000, numPartitions=5).select((F.col("id") * 7919 % 2000).alias("key, x"), odd.alias("text")).repartition(6).orderBy("key, x")
+    path = writers.write_joined(df, f"{tmp_path}/report", header=header, part_rows=37)
+    whole = csv_lines(path)
+    read = spark.read.schema("key long, text string").csv(path, multiLine=True, escape='"', header=header).collect()
+    assert [r["key"] for r in read] == list(range(2000))
+    assert [r["text"] for r in read] == [r["text"] for r in df.collect()]
+    assert whole.startswith('"key, x",text\n0,') if header else whole.startswith("0,")
+    assert whole.endswith("\n") and not whole.endswith("\n\n")
+    manifest = spark.read.json(f"{path}/_manifest").collect()
+    assert len(manifest) >= 2000 / 37 and sum(r["bytes"] for r in manifest) == len(whole.encode()) - (len('"key, x",text\n') if header else 0)
+    assert sorted(os.listdir(tmp_path)) == ["report"]
+
+
+def test_a_failed_attempt_leaves_nothing(spark, tmp_path):
+    df = spark.range(100, numPartitions=4)
+    path = writers.write_joined(df, f"{tmp_path}/report")
+    broken = df.select(F.when(F.col("id") == 77, F.raise_error(F.lit("lost"))).otherwise(F.col("id").cast("string")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        writers.write_joined(broken, f"{tmp_path}/report", mode="overwrite")
+    with pytest.raises(Exception, match="lost"):
+        writers.write_joined(broken, f"{tmp_path}/other")
+    with pytest.raises(FileExistsError):
+        writers.write_joined(df, path)
+    assert sorted(os.listdir(tmp_path)) == ["report"] and csv_lines(path).count("\n") == 100
+    writers.write_joined(df.limit(0), path, mode="overwrite", header=True)
+    assert csv_lines(path) == "id\n"
