@@ -34,11 +34,11 @@ def count_words(df: DataFrame, words: str) -> DataFrame:
     )
 
 
-def _word_places(df: DataFrame, id_column: str, words: str) -> DataFrame:
-    """One row per id and distinct word with its places in the text, found inside the text's own row.
-    A text without words has one row without a word."""
+def _word_places(df: DataFrame, row: str, id_column: str, words: str) -> DataFrame:
+    """One row per text and distinct word with its places in the text, found inside the text's own row.
+    A text without words has one row without a word. `row` numbers the texts: ids may stand twice."""
     placed = F.transform(words, lambda word, i: F.struct(word.alias("word"), i.alias("place")))
-    ordered = df.select(id_column, F.sort_array(placed).alias("ordered"))
+    ordered = df.select(F.monotonically_increasing_id().alias(row), id_column, F.sort_array(placed).alias("ordered"))
     starts = F.filter(
         F.when(F.size("ordered") > 0, F.sequence(F.lit(0), F.size("ordered") - 1)),
         lambda i: (i == 0) | (F.get("ordered", i)["word"] != F.get("ordered", i - 1)["word"]),
@@ -49,24 +49,25 @@ def _word_places(df: DataFrame, id_column: str, words: str) -> DataFrame:
         places = F.transform(F.slice("ordered", start + 1, end - start), lambda x: x["place"])
         return F.struct(F.get("ordered", start)["word"].alias("word"), places.alias("places"))
 
-    return ordered.withColumn("starts", starts).select(id_column, F.inline_outer(F.transform("starts", run)))
+    return ordered.withColumn("starts", starts).select(row, id_column, F.inline_outer(F.transform("starts", run)))
 
 
 def stem_words(df: DataFrame, id_column: str, words: str) -> DataFrame:
-    """id and its array of stems in text order, under the name `words`; `df` has one row per id.
+    """id and its array of stems in text order, under the name `words`, for each row of `df`; an id may have several.
 
-    The cleaned words are stored once, a row for each word of a text; vocabulary and join read them
-    there. A group on the way back is one text, which was a single row before.
+    The cleaned words are stored once, a row for each word of a text, with a number of the text that is made as they are
+    written; vocabulary and join read them there. A group on the way back is one text, which was a single row before.
     """
-    places = stored(_word_places(df, id_column, words), "word-places")
+    row = "text_row"
+    places = stored(_word_places(df, row, id_column, words), "word-places")
     counted = places.filter("word is not null").groupBy("word").agg(F.count("*").alias("doc_count"))
     lexicon = stored(stem_vocabulary(counted), "stems")
-    stemmed = skew_safe_lookup(places, lexicon, "word", "doc_count", F.col(id_column), how="left")
+    stemmed = skew_safe_lookup(places, lexicon, "word", "doc_count", F.col(row), how="left")
     found = F.collect_list(F.when(F.col("word").isNotNull(), F.struct("places", "stem")))
     each = F.transform("found", lambda f: F.transform(f["places"], lambda p: F.struct(p.alias("place"), f["stem"].alias("stem"))))
     ordered = F.sort_array(F.flatten(each))
     return (
-        stemmed.groupBy(id_column)
+        stemmed.groupBy(row, id_column)
         .agg(found.alias("found"))
         .select(id_column, F.transform(ordered, lambda x: x["stem"]).alias(words))
     )

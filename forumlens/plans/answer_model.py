@@ -50,8 +50,9 @@ class AnswerModel:
         report = summary(confusion_matrix(scored)).withColumn("area_under_roc", F.lit(_scorer().evaluate(scored)))
         return with_run_facts(report, self.prepared, chosen)
 
-    def cross_validate(self, settings: Settings, grid: Grid = FULL_GRID, folds: int = 5, parallelism: int = 4) -> Validated:
-        return cross_validate(self.prepared.train, settings, grid, _scorer(), folds, parallelism)
+    def cross_validate(self, settings: Settings, grid: Grid = FULL_GRID, folds: int = 5, parallelism: int = 4, **ledger) -> Validated | None:
+        """`ledger` and `part` as in `training.cross_validate`."""
+        return cross_validate(self.prepared.train, settings, grid, _scorer(), folds, parallelism, **ledger)
 
 
 def balanced_questions(questions: DataFrame, answers: DataFrame) -> DataFrame:

@@ -61,7 +61,10 @@ def run_tag_prediction(
     folds: int = 5,
     **options,
 ) -> tag_model.TagModel:
-    """Train, then write the metrics and the likely tags, and with a grid the cross validation."""
+    """Train, then write the metrics and the likely tags, and with a grid the cross validation.
+
+    The fits of the grid stand in a ledger beside the results: a run that is started again makes only those missing.
+    """
     model = tag_model.train_tag_model(forum.questions, forum.tags, settings, **options)
     write_result(model.metrics(), output, "tag_metrics")
     write_result(model.likely_tags(), output, "likely_tags")
@@ -87,7 +90,7 @@ def run_answer_prediction(
 def _write_validation(model, output: str, name: str, settings: Settings, grid: Grid | None, folds: int) -> None:
     if grid is None:
         return
-    validated = model.cross_validate(settings, grid, folds)
+    validated = model.cross_validate(settings, grid, folds, ledger=f"{output.rstrip('/')}/{name}_ledger")
     write_result(validated.grid, output, f"{name}_grid")
     write_result(model.metrics(validated.best), output, f"{name}_best_metrics")
 

@@ -92,8 +92,8 @@ TAG_ROWS = f"""chosen as (
 def _stemmed(source: str, id_column: str, words: str) -> str:
     """Table expressions that end in joined(id, text): the stems of each row's words in order."""
     return f"""cleaned as (select {id_column}, {words} words from {source}),
-placed as (select {id_column}, unnest(words) word, generate_subscripts(words, 1) place from cleaned),
-vocabulary as (select distinct word from placed),
+placed as materialized (select {id_column}, unnest(words) word, generate_subscripts(words, 1) place from cleaned),
+vocabulary as materialized (select distinct word from placed),
 {stem_ctes('vocabulary')},
 joined as (
   select {id_column}, string_agg(stem, ' ' order by place) as text
@@ -200,7 +200,7 @@ select page_id, array_to_string(list_concat({_clean('lower(title)')}, {_clean(ST
 select page_id, coalesce(text, '') as text from questions left join joined using (page_id)""",
     "stem_vocabulary": f"""with cleaned as (
   select unnest({_clean("regexp_replace(lower(text), '<.*?>', '', 'g')")}) word from documents),
-vocabulary as (select word, count(*) total_count from cleaned group by 1),
+vocabulary as materialized (select word, count(*) total_count from cleaned group by 1),
 {stem_ctes('vocabulary')}
 select word, total_count, stem from vocabulary join stems using (word)""",
     "tag_training_set": f"""with {TAG_ROWS},
@@ -275,3 +275,20 @@ select feature, class, round(coefficient, 6) as coefficient, round(gradient, 6)
        round(case when feature < 0 then abs(gradient) when coefficient = 0 then greatest(abs(gradient) - 0.03, 0) else abs(gradient + 0.03 * sign(coefficient)) end, 6) as gap
 from gradient""",
 }
+
+LENGTH_FITS = f"""fits as (
+  select point, least, cast({_hash_number(9)} % 5 as integer) fold, count(*) as "rows",
+         avg(cast(cast(n_chars >= least as integer) = quality as integer)) metric
+  from documents join labels using (doc_id), (values (0, 500), (1, 1000), (2, 2000), (3, 4000)) points(point, least) group by 1, 2, 3)"""
+
+ORACLES |= {
+    "repeated_ids_cleaned": f"""with {PAGES}, numbered as (select *, page_id % 7 id from questions),
+{_stemmed('numbered', 'page_id', f"list_concat({_clean('lower(title)')}, {_clean(STRIPPED)})")}
+select id, coalesce(text, '') as text from numbered left join joined using (page_id)""",
+    "fold_metrics": f'with {LENGTH_FITS} select point, least, fold, "rows", round(metric, 6) as metric from fits',
+    "ledger_means": f"""with {LENGTH_FITS},
+means as (select point, least, count(distinct fold) folds, case when count(distinct fold) = 5 then avg(metric) end avg_metric from fits group by 1, 2)
+select point, least, folds, round(avg_metric, 6) as avg_metric,
+       cast(point = (select point from means where avg_metric is not null order by avg_metric desc, point limit 1) as integer) as best
+from means""",
+}

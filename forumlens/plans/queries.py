@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from forumlens.functions.text import clean_words, is_stopword, split_words, strip_html, strip_punctuation
 from forumlens.operators import features, hashed_terms as hashing, linear_model, metrics, relations, selection, splitting, stemming, terms
-from forumlens.plans import analyses, answer_model, tag_model
+from forumlens.plans import analyses, answer_model, ledger, tag_model
 from forumlens.plans.training import row_counts
 from forumlens.session import scratch_path, stored
 from forumlens.sources import forum_csv, question_store, schemas
@@ -256,6 +256,12 @@ def clean_corpus(spark, folder):
     return features.clean_corpus(questions).withColumnRenamed("id", "page_id")
 
 
+def repeated_ids_cleaned(spark, folder):
+    """Pages under ids that each stand several times: every row keeps its own text."""
+    questions = sample.pages(spark, folder).withColumn("id", F.col("page_id") % 7)
+    return features.clean_corpus(questions)
+
+
 def page_tag(spark, folder):
     return sample.pages(spark, folder).select("page_id", "tag")
 
@@ -504,6 +510,25 @@ def tag_cv_grid(spark, folder):
     return _tag_model(spark, folder).cross_validate(tag_model.CLUSTER_SETTINGS).grid
 
 
+def _length_fits(spark: SparkSession, folder: str) -> DataFrame:
+    """A ledger of a small grid: how well a least length tells the quality of labelled documents, fold by fold."""
+    documents = sample.table(spark, folder, "documents").select("doc_id", "n_chars")
+    rated = sample.labels(spark, folder).select("doc_id", "quality").join(documents, "doc_id")
+    limits = F.array(*[F.struct(F.lit(n).alias("point"), F.lit(limit).alias("least")) for n, limit in enumerate((500, 1000, 2000, 4000))])
+    tried = rated.select("*", splitting.fold("doc_id", 5).alias("fold"), F.inline(limits))
+    right = ((F.col("n_chars") >= F.col("least")).cast("int") == F.col("quality")).cast("double")
+    return tried.groupBy("point", "least", "fold").agg(F.count("*").alias("rows"), F.avg(right).alias("metric"))
+
+
+def fold_metrics(spark, folder):
+    return _length_fits(spark, folder).withColumn("metric", F.round("metric", 6))
+
+
+def ledger_means(spark, folder):
+    means = ledger.grid_means(_length_fits(spark, folder), "point", "least", folds=5)
+    return means.select("point", "least", "folds", F.round("avg_metric", 6).alias("avg_metric"), F.col("best").cast("int").alias("best"))
+
+
 def answer_model_metrics(spark, folder):
     return _answer_model(spark, folder).metrics()
 
@@ -552,6 +577,7 @@ QUERIES: dict[str, Query] = {
     "remove_stopwords": remove_stopwords,
     "cleaned_pages": cleaned_pages,
     "clean_corpus": clean_corpus,
+    "repeated_ids_cleaned": repeated_ids_cleaned,
     "page_tag": page_tag,
     "vocabulary": vocabulary,
     "stem_vocabulary": stem_vocabulary,
@@ -582,6 +608,8 @@ QUERIES: dict[str, Query] = {
     "top3_tags": top3_tags,
     "top3_tags_per_question": top3_tags_per_question,
     "tag_cv_grid": tag_cv_grid,
+    "fold_metrics": fold_metrics,
+    "ledger_means": ledger_means,
     "answer_model_metrics": answer_model_metrics,
     "answer_cv_grid": answer_cv_grid,
 }

@@ -53,7 +53,11 @@ def _suffix_step(name: str, source: str, table: dict[str, str], second_region=()
 
 
 def stem_ctes(words: str) -> str:
-    """Table expressions that end in stems(word, stem), for the distinct words of `words`."""
+    """Table expressions that end in stems(word, stem), for the distinct words of `words`. Each is worked out once."""
+    return _steps(words).replace(" as (\n", " as materialized (\n")
+
+
+def _steps(words: str) -> str:
     return f"""marked as (
   select word,
          regexp_replace(regexp_replace(regexp_replace(translate(word, '‘’‛', ''''''''), '^''', ''), '^y', 'Y'),

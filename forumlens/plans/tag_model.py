@@ -50,9 +50,10 @@ class TagModel:
         report = summary(confusion_matrix(chosen.transform(self.prepared.test)))
         return with_run_facts(report, self.prepared, chosen)
 
-    def cross_validate(self, settings: Settings, grid: Grid = FULL_GRID, folds: int = 5, parallelism: int = 4) -> Validated:
+    def cross_validate(self, settings: Settings, grid: Grid = FULL_GRID, folds: int = 5, parallelism: int = 4, **ledger) -> Validated | None:
+        """`ledger` and `part` as in `training.cross_validate`."""
         scorer = MulticlassClassificationEvaluator(metricName="f1")
-        return cross_validate(self.prepared.train, settings, grid, scorer, folds, parallelism)
+        return cross_validate(self.prepared.train, settings, grid, scorer, folds, parallelism, **ledger)
 
     def likely_tags(self, per_question: int = 3) -> DataFrame:
         """The most probable tags of every held-out question, best first, also where its own tags do

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import product
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.operators.features import fitted_stages, term_hashing
 from forumlens.operators.splitting import fold, is_train
-from forumlens.session import stored
+from forumlens.plans.ledger import POINT, Fit, Ledger, grid_means
+from forumlens.session import scratch_path, stored
 
 FOLD = "fold"
 
@@ -91,6 +92,18 @@ class Validated:
     grid: DataFrame
 
 
+def grid_fits(grid: Grid, folds: int) -> list[Fit]:
+    """All fits of a grid, point by point, numbered in the order of the parameters."""
+    points = product(grid.reg_param, grid.elastic_net_param, grid.max_iter)
+    return [Fit(n, float(reg), float(net), int(rounds), fold) for n, (reg, net, rounds) in enumerate(points) for fold in range(folds)]
+
+
+def open_ledger(train: DataFrame, settings: Settings, folds: int, path: str) -> Ledger:
+    """The ledger at `path`; it raises when that belongs to other rows, settings or folds."""
+    rows = train.agg(F.count("*").alias("n"), F.sum(F.xxhash64("id", "label").cast("decimal(38,0)")).alias("sum")).first()
+    return Ledger(train.sparkSession, path, f"{rows['n']} rows {rows['sum']}, {settings.num_features} features, seed {settings.seed}, {folds} folds")
+
+
 def cross_validate(
     train: DataFrame,
     settings: Settings,
@@ -98,40 +111,35 @@ def cross_validate(
     evaluator: Evaluator,
     folds: int = 5,
     parallelism: int = 4,
-) -> Validated:
+    ledger: str | None = None,
+    part: tuple[int, int] = (0, 1),
+) -> Validated | None:
     """Every grid point over folds of whole questions; the best one is fitted again on all rows.
 
-    The fold stands in a stored table, so no fit computes it again.
+    The fold stands in a stored table, so no fit computes it again. Each fit is one row of the ledger, in a folder that is given or
+    in the shared scratch folder; with the same `ledger` a later run makes only what is missing, and jobs that take different
+    parts of the grid (`part` k of n) share it. None when other parts are still missing.
     """
-    regression = estimator(settings)
-    points = (
-        ParamGridBuilder()
-        .addGrid(regression.regParam, list(grid.reg_param))
-        .addGrid(regression.elasticNetParam, list(grid.elastic_net_param))
-        .addGrid(regression.maxIter, list(grid.max_iter))
-        .build()
-    )
-    validator = CrossValidator(
-        estimator=regression,
-        estimatorParamMaps=points,
-        evaluator=evaluator,
-        numFolds=folds,
-        foldCol=FOLD,
-        parallelism=parallelism,
-    )
-    fitted = validator.fit(stored(train.withColumn(FOLD, fold("id", folds, settings.seed)), "folds"))
-    best = fitted.bestModel
-    chosen = (best.getRegParam(), best.getElasticNetParam(), best.getMaxIter())
-    table = []
-    for point, metric in zip(points, fitted.avgMetrics, strict=True):
-        values = (
-            point[regression.regParam],
-            point[regression.elasticNetParam],
-            point[regression.maxIter],
-        )
-        table.append((*values, float(metric), values == chosen))
-    schema = "reg_param double, elastic_net_param double, max_iter int, avg_metric double, best boolean"
-    return Validated(best, train.sparkSession.createDataFrame(table, schema))
+    spark = train.sparkSession
+    fits = grid_fits(grid, folds)
+    book = open_ledger(train, settings, folds, ledger or scratch_path(spark, "ledger"))
+    if book.missing(fits):
+        placed = stored(train.withColumn(FOLD, fold("id", folds, settings.seed)), "folds")
+
+        def make(fit: Fit) -> float:
+            regression = LogisticRegression(maxIter=fit.max_iter, regParam=fit.reg_param, elasticNetParam=fit.elastic_net_param)
+            model = regression.fit(placed.filter(F.col(FOLD) != fit.fold))
+            return evaluator.evaluate(model.transform(placed.filter(F.col(FOLD) == fit.fold)))
+
+        book.run(fits, make, parallelism, part)
+        if book.missing(fits):
+            return None
+    table = stored(grid_means(book.table(fits), *POINT, folds=folds), "grid-means")
+    best = table.filter("best").first()
+    if best is None:
+        raise ValueError("no point of the grid has a metric in every fold")
+    chosen = LogisticRegression(maxIter=best["max_iter"], regParam=best["reg_param"], elasticNetParam=best["elastic_net_param"])
+    return Validated(chosen.fit(train), table.select("reg_param", "elastic_net_param", "max_iter", "avg_metric", "best"))
 
 
 def with_run_facts(metrics: DataFrame, prepared: Prepared, model: LogisticRegressionModel) -> DataFrame:

@@ -1,6 +1,7 @@
 import re
 import string
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.ml.feature import StopWordsRemover
@@ -85,3 +86,12 @@ def test_clean_corpus_joins_title_and_body_and_takes_null(spark):
     assert got == {1: "run b connect run", 2: "bodi", 3: "titl", 4: "", 5: "y" * 99 + "i x"}  # words of any length are stemmed
     plain = {r["id"]: r["words"] for r in question_words(questions, stemmed=False).collect()}
     assert plain[1] == ["running", "b", "connections", "running"]
+
+
+@pytest.mark.parametrize("stemmed", [False, True])
+def test_rows_of_one_id_stay_apart(spark, stemmed):
+    rows = [(1, "first title", "alpha beta"), (1, "second title", "gamma delta"), (None, None, "x"), (None, "", None), (2, None, None)]
+    cleaned = clean_corpus(spark.createDataFrame(rows, "id int, title string, body string"), stemmed=stemmed)
+    title = "titl" if stemmed else "title"
+    want = [(1, f"first {title} alpha beta"), (1, f"second {title} gamma delta"), (2, ""), (None, ""), (None, "x")]
+    assert sorted((tuple(r) for r in cleaned.collect()), key=str) == sorted(want, key=str)
