@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from forumlens.sources import writers
+from forumlens.session import lifetimes, shared_folder
+from forumlens.sources import split_csv, writers
 from forumlens.sources.forum_csv import convert_to_parquet, load_table
 from forumlens.sources.schemas import ANSWERS, QUESTIONS, TAGS
 from forumlens.sources.writers import write_result
@@ -100,8 +101,10 @@ def test_csv_sink(spark, tmp_path):
         write_result(df, str(tmp_path), "other", file_format="orc")
 
 
-@pytest.mark.parametrize("split_bytes", ["134217728", "300", "61"])
-def test_split_scan_equals_the_plain_scan(spark, tmp_path, split_bytes):
+@pytest.mark.parametrize("split_bytes, ranges", [("134217728", 50000), ("300", 50000), ("61", 50000), ("300", 0)])
+def test_split_scan_equals_the_plain_scan(spark, tmp_path, monkeypatch, split_bytes, ranges):
+    """Ranges that cut letters, CR LF and records, records longer than many ranges; and states too many to broadcast."""
+    monkeypatch.setattr(split_csv, "RANGES", ranges)
     chance = random.Random(7)
     parts = ["a", '"', "\n", ",", "x y", "\r\n", "é", ""]
     for number, line_end in enumerate(["\n", "\r\n"]):
@@ -127,6 +130,30 @@ def test_split_scan_equals_the_plain_scan(spark, tmp_path, split_bytes):
             spark.conf.set(key, value)
 
 
+def test_split_scan_stores_borders_only(spark, tmp_path):
+    """No line is shuffled, and no record is written but those that borders cut."""
+    with open(tmp_path / "tags.csv", "w") as file:
+        file.write("Id,Tag\n" + "".join(f'{i},"{"x" * 80}\n{i}"\n' for i in range(20000)))
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    place = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(place))
+    try:
+        with lifetimes(spark):
+            rows = load_table(spark, str(tmp_path / "tags.csv"), TAGS, split_files=True).rows
+            assert rows.count() == 20000
+            made = {n.rsplit("-", 1)[0]: n for n in set(os.listdir(place)) - before}
+            assert set(made) == {"csv-ranges", "csv-borders"}
+            stored = sum(os.path.getsize(f"{d}/{f}") for n in made.values() for d, _, files in os.walk(f"{place}/{n}") for f in files)
+            assert stored < os.path.getsize(tmp_path / "tags.csv") / 20
+            lines = split_csv._lines(spark, str(tmp_path / "tags.csv"))
+            whole = split_csv._pieces(lines, spark.read.parquet(f"{place}/{made['csv-ranges']}"), cut=False)
+            plan = whole._jdf.queryExecution().executedPlan().toString()
+            assert "MapInArrow" in plan and "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+
+
 def test_split_scan_of_the_fixture(spark, folder):
     for name, schema in (("questions", QUESTIONS), ("answers", ANSWERS), ("tags", TAGS)):
         plain = load_table(spark, str(folder / f"{name}.csv"), schema)
