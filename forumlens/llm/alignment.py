@@ -23,7 +23,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -96,13 +96,18 @@ class ByteLevel:
         byte_of = {s: b for b, s in enumerate(byte_symbols())}
         self.labels = {i: bytes(map(byte_of.__getitem__, t)) for t, i in model["vocab"].items() if all(c in byte_of for c in t)}
         merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
-        self.library = tokenizers.Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.quick = None
+        self.path, self.quick = path, None
         if merged == list(range(256, 256 + len(merged))) and sorted(self.labels[i] for i in range(256)) == [bytes([b]) for b in range(256)]:
             ranks = {self.labels[i]: i for i in range(256 + len(merged))}
             self.quick = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def library(self) -> tokenizers.Tokenizer:
+        """Read when a text first needs it, since it takes much memory."""
+        library = tokenizers.Tokenizer.from_file(self.path)
+        library.encode_special_tokens = True
+        return library
+
     def encode(self, text: str) -> list[int] | None:
         """Ids, None where they don't give the text back."""
         if self.quick is not None and LATER.search(text) is None:
