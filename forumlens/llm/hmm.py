@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from forumlens.llm.blocks import from_ipc, packed, rows_of, to_ipc, unpacked, with_answers
 from forumlens.llm.common import drop_columns, fresh, numbered, tasks_for
-from forumlens.session import stored
+from forumlens.session import Scope, lifetimes, stored
 
 STATES = 8
 #: Places in the order of word hashes; buckets are ranges of them.
@@ -183,12 +183,12 @@ class Model:
         """Scaled forward values and their scales, in the order of `texts`; `seen` has the word of each token."""
         alpha = self.emit[seen]
         scale = np.empty(len(seen), alpha.dtype)
-        before = None
+        before, ones = None, np.ones(alpha.shape[1], alpha.dtype)
         for t, n in enumerate(texts.active):
             own = slice(texts.offset[t], texts.offset[t] + n)
             now = alpha[own]
             now *= self.start if t == 0 else before[:n] @ self.move
-            total = now.sum(axis=1)
+            total = now @ ones
             now /= total[:, None]
             scale[own] = total
             before = now
@@ -386,8 +386,11 @@ def train_round(asked: DataFrame, states: int, start: np.ndarray, move: np.ndarr
     return stored(sent.groupBy("bucket").applyInPandas(add, "block long, bucket long, answer binary"), "expected")
 
 
-def train(blocks: DataFrame, tasks: int, anchors: np.ndarray, n_train: int, states: int, rounds: int | None):
-    """Baum-Welch over all training texts, to the end or `rounds` times: start, move, the states' shares, expected counts."""
+def train(blocks: DataFrame, tasks: int, anchors: np.ndarray, n_train: int, states: int, rounds: int | None, commit):
+    """Baum-Welch over all training texts, to the end or `rounds` times: start, move, the states' shares, expected counts.
+
+    `commit` drops the last round's table once the next one stands.
+    """
     anchors = anchors[np.argsort(anchors[:, 0], kind="stable")]
     group = first_groups(blocks, tasks, anchors, states)
     start, move = np.full(states, 1 / states), np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
@@ -395,6 +398,7 @@ def train(blocks: DataFrame, tasks: int, anchors: np.ndarray, n_train: int, stat
     before, made = -np.inf, 0
     while True:
         expected = train_round(asked, states, start, move, ratios)
+        commit(blocks, expected)
         found = [(r["bucket"], np.frombuffer(bytes(r["answer"]), np.float64)) for r in expected.filter("block = -1").collect()]
         begun, moved, (log,) = np.split(next(x for b, x in found if b < 0), [states, states + states * states])
         mass = np.maximum(sum(x for b, x in found if b >= 0), 1e-3) / n_train
@@ -412,6 +416,13 @@ def score_texts(docs: DataFrame, training: Column, states: int = STATES, rounds:
     """`docs` with held_out, n_tokens, n_known, train_tokens, base_score and score (log10), the model being trained where `training` holds."""
     new = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     docs = drop_columns(docs, *new)
+    with lifetimes(docs.sparkSession) as scope:
+        scored = _score_texts(scope, docs, new, training, states, rounds, block_tokens)
+        scope.hand_over(scored)
+    return scored
+
+
+def _score_texts(scope: Scope, docs: DataFrame, new: list[str], training: Column, states: int, rounds: int | None, block_tokens: int) -> DataFrame:
     flag = fresh("training", docs.columns)
     blocks = encode_blocks(docs.withColumn(flag, training), flag, block_tokens)
     named, n_blocks = blocks.agg(F.sum("n_words"), F.count("*")).first()
@@ -428,7 +439,7 @@ def score_texts(docs: DataFrame, training: Column, states: int = STATES, rounds:
         placed = answers.filter("block >= 0").select("block", "bucket", F.col("places").alias("answer"))
         training_blocks = blocks.select("block", "lengths", "train", "ids", "hashes")
         training_blocks = stored(with_answers(training_blocks, placed).withColumnRenamed("answers", "placed"), "placed")
-        start, move, mass, expected = train(training_blocks, min(n_blocks, max(TASKS, tasks_for(named, BUCKET_WORDS // 2))), anchors, n_train, states, rounds)
+        start, move, mass, expected = train(training_blocks, min(n_blocks, max(TASKS, tasks_for(named, BUCKET_WORDS // 2))), anchors, n_train, states, rounds, lambda *read: scope.commit(blocks, answers, *read))
     base = n_train + 0.5 * (n_distinct + 1)
     expected_known = expected is not None
     kinds = [T.BooleanType(), T.LongType(), T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType()]
