@@ -39,6 +39,8 @@ PENALTY = 2e-4
 ROUNDS = 20
 #: Tasks over the bounded sample; up to four sum a loss in one stage.
 TASKS = 4
+#: Fits whose jobs the driver runs side by side.
+AT_ONCE = 2
 
 
 def words_of(text: Column) -> Column:
@@ -90,8 +92,8 @@ def fit(rows: DataFrame, features: str, label: str) -> LogisticRegressionModel |
 
 
 def side_by_side(rows: DataFrame, tasks: list[Callable[[], object]]) -> list:
-    """The results of fits on the sample, each of which is a chain of jobs too small to fill a cluster."""
-    with ThreadPool(len(tasks)) as pool:
+    """The results of fits on the sample, each of which is a chain of jobs too small to fill a cluster; the driver holds few at once."""
+    with ThreadPool(min(AT_ONCE, len(tasks))) as pool:
         return pool.map(lambda task: task(), [inheritable_thread_target(rows.sparkSession)(t) for t in tasks])
 
 
