@@ -1,7 +1,8 @@
 """Deterministic sharded WARC writer, and the reader of what it wrote.
 
-Records are dealt to shards by ranges of page_id that hold about `shard_bytes` of payload (exact sums over equal cells
-of the id range, so a run gives the same shards as the last one), sorted in each shard, and written as gzip members.
+Records are dealt to shards by ranges of page_id that hold about `shard_bytes` of payload (exact sums over cells of about as
+many ids each, cut at ids drawn by their hash, so a run gives the same shards as the last one, and ids may lie far
+apart), a task for each shard, sorted there, and written as gzip members.
 A file is closed when it has `file_bytes` compressed. Headers, record ids and digests are made anew from the row;
 dates are a parameter, so equal tables give equal bytes.
 
@@ -28,9 +29,10 @@ import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.llm.common import utf8_bytes
@@ -38,7 +40,8 @@ from forumlens.session import scratch_path, stored
 
 SHARD_BYTES = 16 << 20
 FILE_BYTES = 8 << 20
-CELLS = 1 << 14
+CELLS, IDS_PER_CELL = 1 << 14, 8
+MANIFEST = "manifest.parquet"
 DATE = "2000-01-01T00:00:00Z"
 #: Fixed value: the profile that the WARC standard names for such revisits.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -100,12 +103,33 @@ def with_notes(pages: DataFrame, least: int) -> DataFrame:
     return records.unionByName(notes, allowMissingColumns=True)
 
 
+def cut_points(pages: DataFrame, cells: int = CELLS) -> np.ndarray:
+    """Ids that cut the table into cells of about as many ids each, however these are spread.
+
+    They come from the ids whose hash is divisible by a number that leaves some for each cell: the same for the same rows.
+    """
+    ids = pages.select(F.col("page_id").cast("long").alias("id")).filter("id is not null")
+    every = max(1, ids.count() // (IDS_PER_CELL * cells))
+    drawn = ids.filter(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).distinct()
+    found = np.sort(np.array([r[0] for r in drawn.toLocalIterator()], np.int64))  # about IDS_PER_CELL x cells numbers
+    return found[:: -(-len(found) // cells) or 1]
+
+
+def cell_of(page_id: Column, cuts: np.ndarray) -> Column:
+    """The number of cut points up to an id; 0 for null."""
+
+    @F.arrow_udf("int")
+    def number(ids: pa.Array) -> pa.Array:
+        known = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        cells = np.where(ids.is_valid().to_numpy(zero_copy_only=False), np.searchsorted(cuts, known, "right"), 0)
+        return pa.array(cells.astype(np.int32), pa.int32())
+
+    return number(page_id)
+
+
 def write_warc(pages: DataFrame, folder: str, least: int = 0, shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES, date: str = DATE) -> DataFrame:
     """Write `pages` (page_id, url, html) below `folder`; the manifest: name, shard, number, records, bytes, sha1."""
-    low, high = pages.agg(F.min("page_id").cast("long"), F.max("page_id").cast("long")).first()
-    low, high = (0, 0) if low is None else (low, high)
-    width = (high - low) // CELLS + 1
-    cell = F.coalesce(F.floor((F.col("page_id").cast("decimal(20,0)") - F.lit(low)) / F.lit(width)), F.lit(0)).cast("int")
+    cell = cell_of(F.col("page_id").cast("long"), cut_points(pages))
     sums = dict(pages.groupBy(cell.alias("cell")).agg(F.sum(utf8_bytes(F.col("html")) + 512)).collect())
     shard_of, filled = [], 0
     for c in sorted(sums):
@@ -113,10 +137,10 @@ def write_warc(pages: DataFrame, folder: str, least: int = 0, shard_bytes: int =
         filled += sums[c]
     shards = filled // shard_bytes + 1
     spark = pages.sparkSession
-    ranges = spark.createDataFrame(shard_of, "cell int, shard long")  # at most CELLS rows
+    ranges = spark.createDataFrame(shard_of, "cell int, shard int")  # at most CELLS rows
     rows = with_notes(pages, least).withColumn("cell", cell).join(F.broadcast(ranges), "cell")
     order = ["shard", F.asc_nulls_first("page_id"), "sha", "size", "is_record", "tie"]
-    sorted_rows = rows.repartition(int(shards), "shard").sortWithinPartitions(*order).select("shard", "page_id", "url", "html", "response", "sha", "is_record")
+    sorted_rows = rows.repartitionById(int(shards), F.col("shard")).sortWithinPartitions(*order).select("shard", "page_id", "url", "html", "response", "sha", "is_record")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = file_system(folder)
@@ -174,9 +198,15 @@ def write_warc(pages: DataFrame, folder: str, least: int = 0, shard_bytes: int =
     system, base = file_system(folder)
     if system.get_file_info(f"{base}/_uncommitted").type == fs.FileType.Directory:
         system.delete_dir(f"{base}/_uncommitted")
+    manifest.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{MANIFEST}")  # Spark gives it its name when it is whole
     return manifest
 
 
+def open_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of an archive, from its folder alone."""
+    return spark.read.parquet(f"{folder}/{MANIFEST}")
+
+
 def read_warc(manifest: DataFrame, folder: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to, url, file and payload of each record of the manifest's files.
 

@@ -54,6 +54,19 @@ def test_warc_round_trip(spark, sizes):
     assert warc.read_warc(empty, folder).count() == 0
 
 
+def test_warc_shards_stay_even_with_far_ids(spark):
+    """One id far away, clustered ids at both ends of 64 bits, and nulls."""
+    ids = [*range(2000), *range(10**12, 10**12 + 2000), 10**15, -(2**63), 2**63 - 1, None]
+    df = spark.createDataFrame([(i, "u", f"{i} " + "x" * 500) for i in ids], "page_id long, url string, html string").repartition(5)
+    manifest, folder = warc.scratch_archive(df, shard_bytes=100_000, file_bytes=1 << 30)
+    records = [r["records"] for r in manifest.collect()]
+    assert sum(records) == len(ids) and len(records) >= 40 and max(records) < 2 * sum(records) / len(records)
+    assert warc.read_warc(manifest, folder).select("page_id").distinct().count() == len(ids)
+    again, _ = warc.scratch_archive(df.repartition(3), shard_bytes=100_000, file_bytes=1 << 30)
+    assert rows(again) == rows(manifest)
+    assert rows(warc.open_archive(spark, folder)) == rows(manifest)
+
+
 # 2. top k
 
 
