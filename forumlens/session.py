@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from threading import Lock
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_dropping = Lock()
+_droppers: list[str] = []  # what the setting was before each of the writes that run now, side by side
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    with _dropping:
+        _droppers.append(_droppers[0] if _droppers else spark.conf.get(DROP_SHUFFLES, "false"))
+        spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _dropping:
+            before = _droppers.pop()
+            if not _droppers:
+                spark.conf.set(DROP_SHUFFLES, before)
+
+
 def tables_read(df: DataFrame) -> set[str]:
     """Paths of the tables that the plan of `df` reads, subqueries included."""
     plan = df._jdf.queryExecution().analyzed()
@@ -132,12 +151,8 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     scope = _scope.get()
     if scope is not None:
         scope.tables.append(path)
-    before = spark.conf.get(DROP_SHUFFLES, "false")
-    spark.conf.set(DROP_SHUFFLES, "true")
-    try:
+    with _shuffles_dropped(spark):
         df.write.partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,13 +1,14 @@
 """How long stored tables live."""
 
 import os
+from multiprocessing.pool import ThreadPool
 from urllib.parse import urlsplit
 
 import pytest
 from pyspark.sql import functions as F
 
 from forumlens.operators.terms import tf_idf
-from forumlens.session import lifetimes, scratch_removed, shared_folder, stored, tables_read
+from forumlens.session import DROP_SHUFFLES, lifetimes, scratch_removed, shared_folder, stored, tables_read
 
 
 @pytest.fixture
@@ -94,3 +95,10 @@ def test_a_write_leaves_no_shuffle_files(spark):
     before = shuffles()
     stored(numbers(spark, 1000).repartition(4, "k").groupBy("id").count(), "counted")
     assert shuffles() <= before
+
+
+def test_writes_side_by_side_restore_the_setting(spark):
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    with ThreadPool(4) as pool:
+        counts = pool.map(lambda n: stored(numbers(spark, 100 + n).groupBy("k").count(), f"n{n}").count(), range(8))
+    assert counts == [3] * 8 and spark.conf.get(DROP_SHUFFLES, "false") == before
