@@ -156,6 +156,34 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Spark's own limit of buckets, unless the session names another.
+MOST_BUCKETS = 100_000
+
+
+def stored_in_buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """`stored`, laid out in buckets of `key` as it is written, without a shuffle.
+
+    Joins and groupings by `key` with as many partitions as there are buckets do not shuffle the table.
+    """
+    spark = df.sparkSession
+    path, table = scratch_path(spark, name), f"{name}_{uuid.uuid4().hex}"
+    scope = _scope.get()
+    if scope is not None:
+        scope.tables.append(path)
+    with _shuffles_dropped(spark):
+        df.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(table)
+    found = spark.table(table).select("*")
+    found._jdf.queryExecution().analyzed()  # from here on the frame knows its files and its buckets by itself
+    spark.sql(f"drop table {table}")
+    return found
+
+
+def buckets_for(df: DataFrame, per_task: int = 8) -> int:
+    """Buckets for what the tasks of `df` write, `per_task` tables' parts each: no fewer than a shuffle has partitions."""
+    most = int(df.sparkSession.conf.get("spark.sql.sources.bucketing.maxBuckets", str(MOST_BUCKETS)))
+    return min(most, max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), per_task * df.rdd.getNumPartitions()))
+
+
 @contextmanager
 def scratch_removed(spark: SparkSession) -> Iterator[None]:
     """Delete the tables that `stored` writes inside the block when it ends.
