@@ -32,19 +32,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forumlens.llm.blocks import from_ipc, packed, rows_of, to_ipc, unpacked, with_answers
+from forumlens.llm.blocks import from_ipc, packed, rows_of, to_ipc, unpacked
 from forumlens.llm.common import drop_columns, fresh, numbered, tasks_for
-from forumlens.session import Scope, lifetimes, stored
+from forumlens.session import Scope, buckets_for, lifetimes, stored, stored_in_buckets
 
 STATES = 8
 #: Places in the order of word hashes; buckets are ranges of them.
-CLASSES = 1 << 15
+CLASSES = 1 << 24
 #: The rounds end when a token's mean log likelihood (base e) gains less.
 GAIN = 0.005
 SEED = 42
 ANCHORS = 128
-BLOCK_TOKENS = 1_000_000
-BATCH_TOKENS = 400_000
+BLOCK_TOKENS = 4_000_000
+#: Tokens whose recursions run side by side, about 100 bytes each.
+BATCH_TOKENS = 1_000_000
+#: Tokens gathered at a time.
+SLICE = 1 << 16
 #: Distinct words of blocks that meet in one bucket, about.
 BUCKET_WORDS = 1_000_000
 #: Share of the corpus-wide distribution in each state's.
@@ -66,8 +69,8 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), "<u8").reshape(-1, 2)
 
 
-def encode_blocks(docs: DataFrame, training: str, block_tokens: int) -> DataFrame:
-    """Blocks of numbered texts: (block, n_words, rest, lengths, train, ids, hashes, counts)."""
+def encode_blocks(docs: DataFrame, training: str, block_tokens: int, laid_out: int) -> DataFrame:
+    """Blocks of numbered texts: (block, n_words, rest, lengths, train, ids, hashes, counts), laid out by block, so they are never shuffled."""
     place, flag = docs.columns.index("text"), docs.columns.index(training)
     keep = [i for i, c in enumerate(docs.columns) if c != training]
 
@@ -101,7 +104,7 @@ def encode_blocks(docs: DataFrame, training: str, block_tokens: int) -> DataFram
 
     names = ["block", "n_words", "rest", "lengths", "train", "ids", "hashes", "counts"]
     schema = "block long, n_words long, rest binary, lengths binary, train binary, ids binary, hashes binary, counts binary"
-    return stored(numbered(docs).mapInArrow(run, schema), "encoded")
+    return stored_in_buckets(numbered(docs).mapInArrow(run, schema), "encoded", "block", laid_out)
 
 
 def class_of(hashes: np.ndarray) -> np.ndarray:
@@ -157,6 +160,13 @@ def count_words(blocks: DataFrame, buckets: int) -> DataFrame:
     return sent.groupBy("bucket").applyInPandas(add, "block long, bucket long, answer binary, places binary")
 
 
+def with_answers(blocks: DataFrame, answers: DataFrame, laid_out: int) -> DataFrame:
+    """`blocks` with the list `answers` of the rows of `answers` for each, by bucket, or null; only the answers move."""
+    columns = [c for c in answers.columns if c != "block"]
+    lists = answers.repartition(laid_out, "block").groupBy("block").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("answers"))
+    return blocks.join(lists.hint("merge"), "block", "left")
+
+
 class Texts:
     """Texts side by side: step by step, the longest first, without padding."""
 
@@ -174,48 +184,55 @@ class Texts:
 
 
 class Model:
-    """start (K), move (K, K), emit (words, K): up to a factor for each word."""
+    """start (K), move (K, K), emit (words, K): up to a factor for each word.
+
+    Values of tokens are (K, tokens), in the order of `Texts`: a step is a slice of each state's row.
+    """
 
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
         self.start, self.move, self.emit = start, move, emit
 
-    def forward(self, seen: np.ndarray, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """Scaled forward values and their scales, in the order of `texts`; `seen` has the word of each token."""
-        alpha = self.emit[seen]
-        scale = np.empty(len(seen), alpha.dtype)
-        before, ones = None, np.ones(alpha.shape[1], alpha.dtype)
-        for t, n in enumerate(texts.active):
-            own = slice(texts.offset[t], texts.offset[t] + n)
-            now = alpha[own]
-            now *= self.start if t == 0 else before[:n] @ self.move
-            total = now @ ones
-            now /= total[:, None]
-            scale[own] = total
+    def emissions(self, seen: np.ndarray) -> np.ndarray:
+        values = np.empty((self.emit.shape[1], len(seen)), self.emit.dtype)
+        for at in range(0, len(seen), SLICE):
+            values[:, at : at + SLICE] = self.emit[seen[at : at + SLICE]].T
+        return values
+
+    def forward(self, alpha: np.ndarray, texts: Texts) -> np.ndarray:
+        """Turns emissions into scaled forward values in place; the scales."""
+        scale = np.empty(alpha.shape[1], alpha.dtype)
+        turn, before = np.ascontiguousarray(self.move.T), None
+        for a, n in zip(texts.offset.tolist(), texts.active.tolist()):
+            now = alpha[:, a : a + n]
+            now *= self.start[:, None] if before is None else turn @ before[:, :n]
+            now /= np.add.reduce(now, axis=0, out=scale[a : a + n])
             before = now
-        return alpha, scale
+        return scale
 
     def expect(self, seen: np.ndarray, texts: Texts, sums: dict[str, np.ndarray]) -> None:
         """Add the expected counts of these texts to `sums`."""
-        alpha, scale = self.forward(seen, texts)
+        ahead = self.emissions(seen)
+        alpha = ahead.copy()
+        scale = self.forward(alpha, texts)
         if "log" in sums:
             sums["log"] += np.log(scale).sum(dtype=np.float64)
-        ahead = self.emit[seen] / scale[:, None]  # becomes emission x backward value / scale
+        ahead /= scale  # becomes emission x backward value / scale
         beta = np.ones_like(alpha)
-        turn = np.ascontiguousarray(self.move.T)
-        for t in range(len(texts.active) - 1, -1, -1):
-            a, n = texts.offset[t], texts.active[t]
-            if t + 1 < len(texts.active):
-                m = texts.active[t + 1]
-                beta[a : a + m] = ahead[a + n : a + n + m] @ turn
-            ahead[a : a + n] *= beta[a : a + n]
-        first = texts.active[0]
-        later = np.arange(first, len(seen))
-        ago = later - np.repeat(texts.active[:-1], texts.active[1:])  # the same text, a step before
-        sums["move"] += self.move * (alpha[ago].T @ ahead[later])
+        steps = list(zip(texts.offset.tolist(), texts.active.tolist(), [*texts.active[1:].tolist(), 0]))
+        for a, n, m in reversed(steps):
+            if m:
+                np.matmul(self.move, ahead[:, a + n : a + n + m], out=beta[:, a : a + m])
+            ahead[:, a : a + n] *= beta[:, a : a + n]
+        first = int(texts.active[0])
+        ago = np.arange(first, len(seen)) - np.repeat(texts.active[:-1], texts.active[1:])  # the same text, a step before
+        moved = np.zeros(self.move.shape)
+        for at in range(0, len(ago), SLICE):
+            moved += alpha[:, ago[at : at + SLICE]] @ ahead[:, first + at : first + at + SLICE].T
+        sums["move"] += self.move * moved
         alpha *= beta
-        sums["start"] += alpha[:first].sum(axis=0)
-        for k in range(alpha.shape[1]):
-            sums["emit"][:, k] += np.bincount(seen, weights=alpha[:, k], minlength=len(self.emit))
+        sums["start"] += alpha[:, :first].sum(axis=1)
+        for k, own in enumerate(alpha):
+            sums["emit"][:, k] += np.bincount(seen, weights=own, minlength=len(self.emit))
 
 
 def batches_of(lengths: np.ndarray, limit: int) -> Iterator[np.ndarray]:
@@ -344,14 +361,14 @@ def expected_of(row: dict, states: int) -> np.ndarray:
 
 
 def train_round(asked: DataFrame, states: int, start: np.ndarray, move: np.ndarray, ratios) -> DataFrame:
-    """(block, bucket, answer): expected counts of each block's words by state, in the whole corpus.
+    """(block, bucket, answer, places): expected counts of each block's words by state, in the whole corpus, and their numbers in the bucket.
 
     Block -1 has sums for the driver: of bucket -1 start, move and log likelihood, of the others the states' tokens.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = ["bucket", "block", "places", "counts"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-        total = np.zeros(states + states * states + 1)
+        total, seen_any = np.zeros(states + states * states + 1), False
         for row in rows_of(batches):
             lengths, training, ids = read_texts(row)
             now = Model(*[x.astype(np.float32) for x in (start, move, ratios(row))])
@@ -362,43 +379,46 @@ def train_round(asked: DataFrame, states: int, start: np.ndarray, move: np.ndarr
                 now.expect(seen, texts, sums)
             total += np.concatenate([sums["start"], sums["move"].ravel(), sums["log"]])
             at = 0
-            for part in row["placed"]:  # by bucket, as the words are
-                n = len(unpacked(part["answer"])) // 4
-                values = [part["bucket"], row["block"], part["answer"], packed_counts(sums["emit"][at : at + n])]
+            seen_any = True
+            for part in row["answers"]:  # by bucket, as the words are
+                n = len(unpacked(part["places"])) // 4
+                values = [part["bucket"], row["block"], part["places"], packed_counts(sums["emit"][at : at + n])]
                 at += n
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
-        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([-1, -1, b"", packed(total.tobytes())], kinds)], names=names)
+        if seen_any:
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([-1, -1, b"", packed(total.tobytes())], kinds)], names=names)
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         bucket = frame["bucket"].iloc[0]
         if bucket < 0:
             total = sum(np.frombuffer(unpacked(x), np.float64) for x in frame["counts"])
-            return pd.DataFrame({"block": [-1], "bucket": [bucket], "answer": [total.tobytes()]})
+            return pd.DataFrame({"block": [-1], "bucket": [bucket], "answer": [total.tobytes()], "places": [b""]})
         places = [np.cumsum(np.frombuffer(unpacked(x), np.int32)) for x in frame["places"]]
         total = np.zeros((1 + max(int(x[-1]) for x in places), states))
         for place, counts in zip(places, frame["counts"]):
             total[place] += unpacked_counts(counts, states)  # a block names a word once
         answers = [packed_counts(total[place]) for place in places]
         total = unpacked_counts(packed_counts(total), states)  # as the blocks will see it
-        return pd.DataFrame({"block": [*frame["block"], -1], "bucket": bucket, "answer": [*answers, total.sum(axis=0).tobytes()]})
+        return pd.DataFrame({"block": [*frame["block"], -1], "bucket": bucket, "answer": [*answers, total.sum(axis=0).tobytes()], "places": [*frame["places"], b""]})
 
     sent = asked.mapInArrow(work, "bucket long, block long, places binary, counts binary")
-    return stored(sent.groupBy("bucket").applyInPandas(add, "block long, bucket long, answer binary"), "expected")
+    return stored(sent.groupBy("bucket").applyInPandas(add, "block long, bucket long, answer binary, places binary"), "expected")
 
 
-def train(blocks: DataFrame, tasks: int, anchors: np.ndarray, n_train: int, states: int, rounds: int | None, commit):
+def train(blocks: DataFrame, answers: DataFrame, laid_out: int, tasks: int, anchors: np.ndarray, n_train: int, states: int, rounds: int | None, commit):
     """Baum-Welch over all training texts, to the end or `rounds` times: start, move, the states' shares, expected counts.
 
-    `commit` drops the last round's table once the next one stands.
+    `answers` tell a block where its words stand in the buckets. `commit` drops the last round's table once the next one stands.
     """
     anchors = anchors[np.argsort(anchors[:, 0], kind="stable")]
     group = first_groups(blocks, tasks, anchors, states)
     start, move = np.full(states, 1 / states), np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
-    asked, ratios = blocks.coalesce(tasks), lambda row: first_ratios(read_block(row)[3], anchors, group, states)
+    texts, hashes = blocks.select("block", "lengths", "train", "ids"), blocks.select("block", "lengths", "train", "ids", "hashes")
+    asked, ratios = with_answers(hashes, answers.select("block", "bucket", "places"), laid_out), lambda row: first_ratios(read_block(row)[3], anchors, group, states)
     before, made = -np.inf, 0
     while True:
         expected = train_round(asked, states, start, move, ratios)
-        commit(blocks, expected)
+        commit(expected)
         found = [(r["bucket"], np.frombuffer(bytes(r["answer"]), np.float64)) for r in expected.filter("block = -1").collect()]
         begun, moved, (log,) = np.split(next(x for b, x in found if b < 0), [states, states + states * states])
         mass = np.maximum(sum(x for b, x in found if b >= 0), 1e-3) / n_train
@@ -408,7 +428,7 @@ def train(blocks: DataFrame, tasks: int, anchors: np.ndarray, n_train: int, stat
         if made == rounds or log - before < GAIN * n_train:
             return start, move, mass, expected.filter("block >= 0")
         before = log
-        asked = with_answers(blocks.drop("hashes"), expected.filter("block >= 0"))
+        asked = with_answers(texts, expected.filter("block >= 0"), laid_out)
         ratios = lambda row, mass=mass: ratios_of(expected_of(row, states), mass)
 
 
@@ -424,7 +444,8 @@ def score_texts(docs: DataFrame, training: Column, states: int = STATES, rounds:
 
 def _score_texts(scope: Scope, docs: DataFrame, new: list[str], training: Column, states: int, rounds: int | None, block_tokens: int) -> DataFrame:
     flag = fresh("training", docs.columns)
-    blocks = encode_blocks(docs.withColumn(flag, training), flag, block_tokens)
+    laid_out = buckets_for(docs)
+    blocks = encode_blocks(docs.withColumn(flag, training), flag, block_tokens, laid_out)
     named, n_blocks = blocks.agg(F.sum("n_words"), F.count("*")).first()
     buckets = min(CLASSES, tasks_for(named or 0, BUCKET_WORDS))
     answers = stored(count_words(blocks, buckets), "counts")
@@ -436,10 +457,8 @@ def _score_texts(scope: Scope, docs: DataFrame, new: list[str], training: Column
     anchors = words[np.lexsort((words[:, 1], words[:, 0], -often))[:ANCHORS]]
     start, move, mass, expected = np.full(states, 1 / states), np.eye(states), np.full(states, 1 / states), None
     if n_train:
-        placed = answers.filter("block >= 0").select("block", "bucket", F.col("places").alias("answer"))
-        training_blocks = blocks.select("block", "lengths", "train", "ids", "hashes")
-        training_blocks = stored(with_answers(training_blocks, placed).withColumnRenamed("answers", "placed"), "placed")
-        start, move, mass, expected = train(training_blocks, min(n_blocks, max(TASKS, tasks_for(named, BUCKET_WORDS // 2))), anchors, n_train, states, rounds, lambda *read: scope.commit(blocks, answers, *read))
+        tasks = min(n_blocks, max(TASKS, tasks_for(named, BUCKET_WORDS // 2)))
+        start, move, mass, expected = train(blocks, answers.filter("block >= 0"), laid_out, tasks, anchors, n_train, states, rounds, lambda *read: scope.commit(blocks, answers, *read))
     base = n_train + 0.5 * (n_distinct + 1)
     expected_known = expected is not None
     kinds = [T.BooleanType(), T.LongType(), T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType()]
@@ -448,7 +467,7 @@ def _score_texts(scope: Scope, docs: DataFrame, new: list[str], training: Column
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             lengths, train_flags, ids = read_texts(row)
-            counts = np.concatenate([np.frombuffer(unpacked(a["answer"]), np.int64) for a in row["counted"]])  # by bucket, as the words are
+            counts = np.concatenate([np.frombuffer(unpacked(a["counted"]), np.int64) for a in row["answers"]])  # by bucket, as the words are
             ratios = ratios_of(expected_of(row, states), mass, counts) if expected_known else np.ones((len(counts), states))
             model = Model(start, move, ratios)
             text = np.repeat(np.arange(len(lengths)), lengths)
@@ -457,7 +476,7 @@ def _score_texts(scope: Scope, docs: DataFrame, new: list[str], training: Column
             scores = base_scores.copy()
             for some in batches_of(lengths, BATCH_TOKENS):
                 texts, seen = side_by_side(ids, lengths, some)
-                _, scale = model.forward(seen, texts)
+                scale = model.forward(model.emissions(seen), texts)
                 mine = np.bincount(texts.text, weights=np.log10(scale)[texts.place], minlength=len(some))
                 scores[some[texts.order]] += mine
             known = add_up((counts > 0)[ids]).astype(np.int64)
@@ -465,9 +484,7 @@ def _score_texts(scope: Scope, docs: DataFrame, new: list[str], training: Column
             rest = from_ipc(row["rest"])
             yield pa.RecordBatch.from_arrays([*rest.columns, *map(pa.array, values)], names=out.names)
 
-    asked = with_answers(blocks.drop("counts", "hashes", "n_words"), answers.filter("block >= 0").select("block", "bucket", "answer"))
+    counted = answers.filter("block >= 0").select("block", "bucket", F.col("answer").alias("counted"))
     if expected_known:
-        asked = with_answers(asked.withColumnRenamed("answers", "counted"), expected)
-    else:
-        asked = asked.withColumnRenamed("answers", "counted")
-    return asked.mapInArrow(score, out)
+        counted = counted.join(expected.select("block", "bucket", "answer"), ["block", "bucket"])
+    return with_answers(blocks.drop("counts", "hashes", "n_words"), counted, laid_out).mapInArrow(score, out)

@@ -139,7 +139,7 @@ def test_recursions_equal_the_sum_over_all_paths():
     seqs = [chance.integers(0, m, n) for n in (4, 1, 6, 3)]
     lengths = np.array([len(s) for s in seqs])
     layout, seen = hmm.side_by_side(np.concatenate(seqs), lengths, np.arange(4))
-    _, scale = model.forward(seen, layout)
+    scale = model.forward(model.emissions(seen), layout)
     got = np.zeros(4)
     got[layout.order] = np.bincount(layout.text, weights=np.log(scale)[layout.place], minlength=4)
     sums = {"start": np.zeros(k), "move": np.zeros((k, k)), "emit": np.zeros((m, k))}
@@ -187,6 +187,63 @@ def test_states_help_on_held_out_texts(spark):
     assert r[0] > 0.85 * r[1]
 
 
+def plain_rounds(trained, ratio, states, rounds):
+    """Baum-Welch word by word: start, move and each word's ratios, with the expected counts and shares of the last round."""
+    counts = Counter(w for ws in trained for w in ws)
+    n = sum(counts.values())
+    start, move = np.full(states, 1 / states), np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
+    for _ in range(rounds):
+        begun, moved, emitted = np.ones(states), np.ones((states, states)), {w: np.zeros(states) for w in counts}
+        for ws in trained:
+            ahead, behind = [start * ratio[ws[0]]], [np.ones(states)]
+            for w in ws[1:]:
+                ahead.append(ahead[-1] @ move * ratio[w])
+            for w in ws[:0:-1]:
+                behind.insert(0, move @ (ratio[w] * behind[0]))
+            total = ahead[-1].sum()
+            for t, w in enumerate(ws):
+                emitted[w] += ahead[t] * behind[t] / total
+                if t:
+                    moved += np.outer(ahead[t - 1], ratio[w] * behind[t]) * move / total
+            begun += ahead[0] * behind[0] / total
+        start, move = begun / begun.sum(), moved / moved.sum(axis=1, keepdims=True)
+        mass = sum(emitted.values()) / n
+        b = hmm.BACKGROUND
+        ratio = {w: (1 - b) * (e + 0.5 * mass) / (mass * (counts[w] + 0.5)) + b for w, e in emitted.items()}
+    return start, move, ratio, counts
+
+
+def test_scores_equal_a_plain_model(spark, monkeypatch):
+    chance, states = random.Random(5), 3
+    docs = [(i, " ".join(chance.choice("abc"[i % 3]) + str(chance.randrange(9)) for _ in range(chance.randrange(1, 25)))) for i in range(40)]
+    docs += [(40, "never seen a1"), (41, None), (42, "a1 a1 b2"), (42, "a1 a1 b2")]
+    monkeypatch.setattr(hmm, "first_groups", lambda blocks, tasks, anchors, states: np.arange(len(anchors)) % states)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = hmm.score_texts(df, F.col("doc_id") % 5 != 0, states=states, rounds=4, block_tokens=60).collect()
+
+    words = {i: (t or "").encode().split() + [hmm.END] for i, t in docs}
+    trained = [(t or "").encode().split() + [hmm.END] for i, t in docs if i % 5]
+    counts = Counter(w for ws in trained for w in ws)
+    hashes = dict(zip(counts, hmm.word_hashes(list(counts))))
+    everywhere = hmm.word_hashes(sorted({w for ws in words.values() for w in ws}))  # so few that all are anchors
+    assert len(everywhere) <= hmm.ANCHORS
+    anchors = everywhere[np.argsort(everywhere[:, 0])]
+    first = hmm.first_ratios(np.array(list(hashes.values())), anchors, np.arange(len(anchors)) % states, states)
+    start, move, ratio, counts = plain_rounds(trained, dict(zip(hashes, first)), states, 4)
+    n, v = sum(counts.values()), len(counts)
+    share = lambda w: (counts[w] + 0.5) / (n + 0.5 * (v + 1))
+    for k in range(states):  # all words and the unknown one
+        assert math.isclose(sum(share(w) * r[k] for w, r in ratio.items()) + share(b"never"), 1, rel_tol=1e-9)
+    assert len(got) == len(docs)
+    for r in got:
+        at, total = start, 0.0
+        for t, w in enumerate(words[r["doc_id"]]):
+            at = (at @ move if t else at) * ratio.get(w, np.ones(states))
+            total += math.log10(at.sum() * share(w))
+            at = at / at.sum()
+        assert math.isclose(r["score"], total, rel_tol=2e-3), (r, total)
+
+
 def test_each_word_has_its_own_states(spark):
     """Rare words that a small number of hash classes would throw together with frequent ones."""
     chance = random.Random(3)
