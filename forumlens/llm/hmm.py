@@ -43,9 +43,9 @@ CLASSES = 1 << 24
 GAIN = 0.005
 SEED = 42
 ANCHORS = 128
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 2_000_000
 #: Tokens whose recursions run side by side, about 100 bytes each.
-BATCH_TOKENS = 1_000_000
+BATCH_TOKENS = 500_000
 #: Tokens gathered at a time.
 SLICE = 1 << 16
 #: Distinct words of blocks that meet in one bucket, about.
@@ -94,10 +94,11 @@ def encode_blocks(docs: DataFrame, training: str, block_tokens: int, laid_out: i
                 order = np.lexsort((hashes[:, 1], hashes[:, 0], class_of(hashes)))  # words are numbered by class, so buckets are ranges
                 renumber = np.empty(len(order), np.int32)
                 renumber[order] = np.arange(len(order), dtype=np.int32)
-                ids, hashes = renumber[np.concatenate(rows)], hashes[order]
-                counts = np.bincount(ids[np.repeat(train, lengths)], minlength=len(number)).astype(np.int64)
+                ids, hashes, n_words = renumber[np.concatenate(rows)], hashes[order], len(number)
+                rows, number = [], Numbering()  # their memory goes before the block is packed
+                counts = np.bincount(ids[np.repeat(train, lengths)], minlength=n_words).astype(np.int64)
                 rest = pa.RecordBatch.from_arrays([batch.column(i).slice(begin, at - begin) for i in keep], names=[f"c{i}" for i in keep])
-                values = [first + made, len(number), to_ipc(rest), lengths.tobytes(), train.tobytes(), packed(ids.tobytes())]
+                values = [first + made, n_words, to_ipc(rest), lengths.tobytes(), train.tobytes(), packed(ids.tobytes())]
                 values += [hashes.tobytes(), packed(counts.tobytes())]
                 yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64() if i < 2 else pa.binary()) for i, v in enumerate(values)], names=names)
                 made += 1
@@ -183,17 +184,30 @@ class Texts:
         self.step = step
 
 
+class Space:
+    """Arrays that a task's batches use one after the other."""
+
+    def __init__(self):
+        self.held: dict[int, np.ndarray] = {}
+
+    def array(self, which: int, rows: int, columns: int, dtype) -> np.ndarray:
+        now = self.held.get(which)
+        if now is None or now.shape[0] != rows or now.shape[1] < columns or now.dtype != dtype:
+            now = self.held[which] = np.empty((rows, columns), dtype)
+        return now[:, :columns]
+
+
 class Model:
     """start (K), move (K, K), emit (words, K): up to a factor for each word.
 
     Values of tokens are (K, tokens), in the order of `Texts`: a step is a slice of each state's row.
     """
 
-    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
-        self.start, self.move, self.emit = start, move, emit
+    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, space: Space | None = None):
+        self.start, self.move, self.emit, self.space = start, move, emit, space or Space()
 
     def emissions(self, seen: np.ndarray) -> np.ndarray:
-        values = np.empty((self.emit.shape[1], len(seen)), self.emit.dtype)
+        values = self.space.array(0, self.emit.shape[1], len(seen), self.emit.dtype)
         for at in range(0, len(seen), SLICE):
             values[:, at : at + SLICE] = self.emit[seen[at : at + SLICE]].T
         return values
@@ -212,12 +226,13 @@ class Model:
     def expect(self, seen: np.ndarray, texts: Texts, sums: dict[str, np.ndarray]) -> None:
         """Add the expected counts of these texts to `sums`."""
         ahead = self.emissions(seen)
-        alpha = ahead.copy()
+        alpha, beta = (self.space.array(i, *ahead.shape, ahead.dtype) for i in (1, 2))
+        np.copyto(alpha, ahead)
         scale = self.forward(alpha, texts)
         if "log" in sums:
             sums["log"] += np.log(scale).sum(dtype=np.float64)
         ahead /= scale  # becomes emission x backward value / scale
-        beta = np.ones_like(alpha)
+        beta[:] = 1
         steps = list(zip(texts.offset.tolist(), texts.active.tolist(), [*texts.active[1:].tolist(), 0]))
         for a, n, m in reversed(steps):
             if m:
@@ -368,10 +383,10 @@ def train_round(asked: DataFrame, states: int, start: np.ndarray, move: np.ndarr
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = ["bucket", "block", "places", "counts"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-        total, seen_any = np.zeros(states + states * states + 1), False
+        total, seen_any, space = np.zeros(states + states * states + 1), False, Space()
         for row in rows_of(batches):
             lengths, training, ids = read_texts(row)
-            now = Model(*[x.astype(np.float32) for x in (start, move, ratios(row))])
+            now = Model(*[x.astype(np.float32) for x in (start, move, ratios(row))], space)
             sums = {"start": np.zeros(states), "move": np.zeros((states, states)), "emit": np.zeros((len(now.emit), states)), "log": np.zeros(1)}
             of_training = np.flatnonzero(training)
             for some in batches_of(lengths[of_training], BATCH_TOKENS):
@@ -465,11 +480,12 @@ def _score_texts(scope: Scope, docs: DataFrame, new: list[str], training: Column
     out = T.StructType([*docs.schema.fields, *[T.StructField(n, t) for n, t in zip(new, kinds)]])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        space = Space()
         for row in rows_of(batches):
             lengths, train_flags, ids = read_texts(row)
             counts = np.concatenate([np.frombuffer(unpacked(a["counted"]), np.int64) for a in row["answers"]])  # by bucket, as the words are
             ratios = ratios_of(expected_of(row, states), mass, counts) if expected_known else np.ones((len(counts), states))
-            model = Model(start, move, ratios)
+            model = Model(start, move, ratios, space)
             text = np.repeat(np.arange(len(lengths)), lengths)
             add_up = lambda x, text=text, n=len(lengths): np.bincount(text, weights=x, minlength=n)
             base_scores = add_up(np.log10((counts + 0.5) / base)[ids])
