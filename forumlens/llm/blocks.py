@@ -23,8 +23,8 @@ from forumlens.session import stored
 BLOCK_BYTES = 4 << 20
 
 
-def packed(data: bytes) -> bytes:
-    return zstandard.compress(data, 3)
+def packed(data: bytes, level: int = 3) -> bytes:
+    return zstandard.compress(data, level)
 
 
 def unpacked(data: bytes) -> bytes:

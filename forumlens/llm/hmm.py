@@ -102,6 +102,8 @@ def encode_blocks(docs: DataFrame, training: str, block_tokens: int, laid_out: i
                 values += [hashes.tobytes(), packed(counts.tobytes())]
                 yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64() if i < 2 else pa.binary()) for i, v in enumerate(values)], names=names)
                 made += 1
+                del rest, values, ids, hashes, renumber, order, counts
+                pa.default_memory_pool().release_unused()
 
     names = ["block", "n_words", "rest", "lengths", "train", "ids", "hashes", "counts"]
     schema = "block long, n_words long, rest binary, lengths binary, train binary, ids binary, hashes binary, counts binary"
@@ -357,18 +359,26 @@ def ratios_of(expected: np.ndarray, mass: np.ndarray, counts: np.ndarray | None
 
 
 def packed_counts(expected: np.ndarray) -> bytes:
-    """Expected counts (words, K): a word's total and its states in steps of 1/65535 of it, by bytes of like weight."""
-    total = expected.sum(axis=1).astype(np.float32)
-    steps = np.rint(expected / np.maximum(total, 1e-30)[:, None] * 65535).T.astype(np.uint16)
+    """Expected counts (words, K) of whole tokens, so a word's total is a whole number; all states but the last in steps of 1/65535 of it, by bytes of like weight."""
+    total = np.rint(expected.sum(axis=1)).astype(np.float32)
+    steps = np.rint(expected[:, :-1] / np.maximum(total, 1)[:, None] * 65535).T.astype(np.uint16)
     planes = (steps >> 8).astype(np.uint8), (steps & 255).astype(np.uint8)
-    return packed(total.tobytes() + planes[0].tobytes() + planes[1].tobytes())
+    return packed(total.tobytes() + planes[0].tobytes() + planes[1].tobytes(), 1)  # a higher level makes it no smaller
 
 
 def unpacked_counts(data: bytes, states: int) -> np.ndarray:
     data = unpacked(data)
-    n = len(data) // (4 + 2 * states)
-    high, low = np.frombuffer(data, np.uint8, offset=4 * n).astype(np.uint16).reshape(2, states, n)
-    return np.frombuffer(data, np.float32, n)[:, None] * (((high << 8) | low).T / 65535.0)
+    n = len(data) // (2 + 2 * states)
+    high, low = np.frombuffer(data, np.uint8, offset=4 * n).reshape(2, states - 1, n)
+    shares = np.empty((states, n), np.float32)
+    most = shares[:-1]
+    most[:] = high
+    most *= 256
+    most += low
+    most /= 65535
+    shares[-1] = np.maximum(1 - most.sum(axis=0), 0)
+    shares *= np.frombuffer(data, np.float32, n)
+    return np.ascontiguousarray(shares.T)
 
 
 def expected_of(row: dict, states: int) -> np.ndarray:
@@ -400,6 +410,8 @@ def train_round(asked: DataFrame, states: int, start: np.ndarray, move: np.ndarr
                 values = [part["bucket"], row["block"], part["places"], packed_counts(sums["emit"][at : at + n])]
                 at += n
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
+            del now, sums, row
+            pa.default_memory_pool().release_unused()
         if seen_any:
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([-1, -1, b"", packed(total.tobytes())], kinds)], names=names)
 
@@ -413,7 +425,7 @@ def train_round(asked: DataFrame, states: int, start: np.ndarray, move: np.ndarr
         for place, counts in zip(places, frame["counts"]):
             total[place] += unpacked_counts(counts, states)  # a block names a word once
         answers = [packed_counts(total[place]) for place in places]
-        total = unpacked_counts(packed_counts(total), states)  # as the blocks will see it
+        total = unpacked_counts(packed_counts(total), states).astype(np.float64)  # as the blocks will see it
         return pd.DataFrame({"block": [*frame["block"], -1], "bucket": bucket, "answer": [*answers, total.sum(axis=0).tobytes()], "places": [*frame["places"], b""]})
 
     sent = asked.mapInArrow(work, "bucket long, block long, places binary, counts binary")
@@ -444,7 +456,7 @@ def train(blocks: DataFrame, answers: DataFrame, laid_out: int, tasks: int, anch
             return start, move, mass, expected.filter("block >= 0")
         before = log
         asked = with_answers(texts, expected.filter("block >= 0"), laid_out)
-        ratios = lambda row, mass=mass: ratios_of(expected_of(row, states), mass)
+        ratios = lambda row, mass=mass.astype(np.float32): ratios_of(expected_of(row, states), mass)
 
 
 def score_texts(docs: DataFrame, training: Column, states: int = STATES, rounds: int | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
