@@ -471,7 +471,7 @@ def score_texts(docs: DataFrame, training: Column, states: int = STATES, rounds:
 
 def _score_texts(scope: Scope, docs: DataFrame, new: list[str], training: Column, states: int, rounds: int | None, block_tokens: int) -> DataFrame:
     flag = fresh("training", docs.columns)
-    laid_out = buckets_for(docs)
+    laid_out = buckets_for(docs, 4)
     blocks = encode_blocks(docs.withColumn(flag, training), flag, block_tokens, laid_out)
     named, n_blocks = blocks.agg(F.sum("n_words"), F.count("*")).first()
     buckets = min(CLASSES, tasks_for(named or 0, BUCKET_WORDS))
