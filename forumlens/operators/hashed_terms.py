@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forumlens.operators.terms import term_counts
-
 # Fixed values of the published hash; the seed is HashingTF's.
 SEED = 42
 C1, C2 = 0xCC9E2D51, 0x1B873593
@@ -71,9 +70,16 @@ def bucket_of(word: Column, num_features: int) -> Column:
 
 
 def hashed_terms(df: DataFrame, id_column: str, words: Column, num_features: int = 1000) -> DataFrame:
-    """(id, bucket, tf): HashingTF's vectors, an entry a row. Counted inside a text's own row, so nothing is shuffled."""
-    counted = term_counts(df, id_column, F.transform(words, lambda w: bucket_of(w, num_features)))
-    return counted.select(id_column, F.col("word").alias("bucket"), F.col("n").alias("tf"))
+    """(id, bucket, tf): HashingTF's vectors, an entry a row; null words are left out.
+
+    Counted inside a text's own row, so nothing is shuffled. Texts have many words, so HashingTF itself hashes them; the
+    expression above, many times slower, is for tables with a row for each distinct word.
+    """
+    listed = F.array_compact(F.coalesce(words, F.array().cast("array<string>")))
+    texts = df.select(F.col(id_column).alias("text_id"), listed.alias("listed"))
+    vectors = HashingTF(inputCol="listed", outputCol="vector", numFeatures=num_features).transform(texts)
+    entries = vectors.select("text_id", F.unwrap_udt("vector").alias("v")).select("text_id", F.inline(F.arrays_zip("v.indices", "v.values")))
+    return entries.toDF(id_column, "bucket", "n").select(id_column, "bucket", F.col("n").cast("bigint").alias("tf"))
 
 
 def bucket_collisions(vocabulary: DataFrame, num_features: int = 1000) -> DataFrame:

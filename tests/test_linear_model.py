@@ -22,6 +22,14 @@ def test_buckets_equal_hashing_tf(spark):
         assert got == want
 
 
+def test_words_of_texts_are_not_hashed_by_the_expression(spark):
+    """The expression is interpreted step by step; a table of texts has too many words for it."""
+    df = spark.createDataFrame([(1, ["a", None, "a", "ö"])], "id int, words array<string>")
+    found = hashed_terms.hashed_terms(df, "id", F.col("words"), 1 << 18)
+    assert "conv(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["tf"] for r in found.collect()) == [1, 2]
+
+
 def test_collisions_are_counted(spark):
     vocabulary = spark.createDataFrame([(w, n + 1) for n, w in enumerate(WORDS)], "word string, total_count long")
     rows = hashed_terms.bucket_collisions(vocabulary, 3).collect()
