@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from forumlens.functions.stemmer import english_stem
+from forumlens.operators import stemming
 from forumlens.operators.stemming import stem_words
 
 # Word and stem, from the published sample vocabulary and the cases its rules name.
@@ -50,3 +51,15 @@ def test_texts_keep_their_order_and_their_empty_rows(spark):
     df = spark.createDataFrame(rows, "id int, words array<string>")
     got = {r["id"]: r["words"] for r in stem_words(df, "id", "words").collect()}
     assert got == {i: ["run"] * 50 + ["knave", "ab", "run"] for i in range(40)} | {100: [], 101: []}
+
+
+def test_texts_share_a_dictionary(spark, monkeypatch):
+    """The join takes the distinct words of a chunk of texts, not those of each text; a chunk of any size gives the same."""
+    rows = [(i % 30, ["running", None, f"knaves{i % 3}"] * 20) for i in range(40)] + [(None, ["knees"]), (7, [None]), (7, None)]
+    df = spark.createDataFrame(rows, "id int, words array<string>").coalesce(1)
+    chunk = stemming._word_chunks(df, "id", "words").collect()
+    assert len(chunk) == 1 and sorted(chunk[0]["dictionary"]) == ["knaves0", "knaves1", "knaves2", "knees", "running"]
+    want = sorted(str((i, [{"running": "run", "knees": "knee"}.get(w, w) for w in words or [] if w])) for i, words in rows)
+    for most in (1, 50, 1 << 18):
+        monkeypatch.setattr(stemming, "CHUNK_WORDS", most)
+        assert sorted(str((r["id"], r["words"])) for r in stem_words(df, "id", "words").collect()) == want
