@@ -8,7 +8,7 @@ from itertools import product
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import Evaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.operators.features import fitted_stages, term_hashing
@@ -104,6 +104,27 @@ def open_ledger(train: DataFrame, settings: Settings, folds: int, path: str) ->
     return Ledger(train.sparkSession, path, f"{rows['n']} rows {rows['sum']}, {settings.num_features} features, seed {settings.seed}, {folds} folds")
 
 
+def storage_memory(spark: SparkSession) -> int:
+    """Bytes that the executors keep for cached data whatever else runs: Spark's share for it, of half of which tasks may take none."""
+    managers = spark.sparkContext._jsc.sc().getExecutorMemoryStatus()
+    each, total = managers.values().iterator(), 0
+    while each.hasNext():
+        total += each.next()._1()
+    n = managers.size()
+    return total * max(1, n - 1) // n // 2  # on a cluster one of them is the driver's
+
+
+def fits_at_once(train: DataFrame, parallelism: int) -> int:
+    """How many of `parallelism` fits have room side by side.
+
+    A fit caches its rows and reads them in every iteration. Beyond the memory they would push each other out to disk;
+    a fit of a large table keeps all cores busy by itself.
+    """
+    entries = F.size(F.unwrap_udt("features")["values"]).cast("bigint")
+    held = train.agg(F.sum(entries * 12 + 32)).first()[0] or 1  # a number and its place
+    return max(1, min(parallelism, storage_memory(train.sparkSession) // held))
+
+
 def cross_validate(
     train: DataFrame,
     settings: Settings,
@@ -116,7 +137,8 @@ def cross_validate(
 ) -> Validated | None:
     """Every grid point over folds of whole questions; the best one is fitted again on all rows.
 
-    The fold stands in a stored table, so no fit computes it again. Each fit is one row of the ledger, in a folder that is given or
+    The fold stands in a stored table, so no fit computes it again. At most `parallelism` fits run side by side, fewer where
+    the memory would not hold their rows. Each fit is one row of the ledger, in a folder that is given or
     in the shared scratch folder; with the same `ledger` a later run makes only what is missing, and jobs that take different
     parts of the grid (`part` k of n) share it. None when other parts are still missing.
     """
@@ -131,7 +153,7 @@ def cross_validate(
             model = regression.fit(placed.filter(F.col(FOLD) != fit.fold))
             return evaluator.evaluate(model.transform(placed.filter(F.col(FOLD) == fit.fold)))
 
-        book.run(fits, make, parallelism, part)
+        book.run(fits, make, fits_at_once(placed, parallelism), part)
         if book.missing(fits):
             return None
     table = stored(grid_means(book.table(fits), *POINT, folds=folds), "grid-means")

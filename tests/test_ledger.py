@@ -95,3 +95,14 @@ def test_means_over_given_ledgers(spark):
     means = {r["point"]: (r["folds"], r["avg_metric"] and round(r["avg_metric"], 9), r["best"]) for r in ledgers.grid_means(fits, "point", folds=2).collect()}
     assert means == {0: (2, 0.625, True), 1: (2, 0.625, False), 2: (1, None, False)}
     assert ledgers.grid_means(fits.limit(0), "point", folds=2).count() == 0
+
+
+def test_fits_share_the_memory_of_the_executors(spark, train, tmp_path, monkeypatch):
+    assert training.fits_at_once(train, 4) == 4 and training.storage_memory(spark) > 1 << 30
+    ran = []
+    monkeypatch.setattr(ledgers.Ledger, "run", lambda self, fits, make, parallelism, part: ran.append(parallelism))
+    held = train.agg(F.sum(F.size(F.unwrap_udt("features")["values"]) * 12 + 32)).first()[0]
+    for memory in (0, held, 2 * held, 100 * held):
+        monkeypatch.setattr(training, "storage_memory", lambda spark, memory=memory: memory)
+        assert validate(train, str(tmp_path / f"ledger{memory}"), parallelism=3) is None
+    assert ran == [1, 1, 2, 3]
