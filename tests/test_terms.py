@@ -4,7 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from forumlens.operators import lookup, terms
-from forumlens.session import spread
+from forumlens.session import spread, stored
 
 TEXTS = {1: "a b a c", 2: "a", 3: "", 4: "b b b", 5: None}
 
@@ -52,3 +52,43 @@ def test_small_scans_are_spread_and_wide_ones_left_alone(spark):
     wide = spark.range(100, numPartitions=64)
     assert spread(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(wide, "id") is wide
+
+
+def test_words_are_counted_text_by_text(spark, monkeypatch):
+    """Across the pieces that are counted at a time, with repeated ids, null words and null arrays."""
+    monkeypatch.setattr(terms, "CHUNK_WORDS", 5)
+    texts = [(i % 4, [f"w{(i * k) % 7}" for k in range(i)]) for i in range(12)]
+    texts += [(None, ["a", "a"]), (4, [None, "a", None, "a", "b"]), (5, []), (6, None)]
+    df = spark.createDataFrame(texts, "id int, words array<string>").coalesce(1)
+    got = Counter(tuple(r) for r in terms.term_counts(df, "id", F.col("words")).collect())
+    assert got == Counter((i, w, n) for i, words in texts for w, n in Counter(words or []).items())
+
+
+def test_only_facts_of_rare_keys_are_shuffled(spark):
+    hot = F.concat(F.lit("hot"), F.col("id") % 5)
+    long = F.concat(F.repeat(F.lit("x"), 300), F.col("id") % 8)
+    word = F.when(F.col("id") % 3 == 0, hot).when(F.col("id") % 4 == 0, long).when(F.col("id") % 100 != 1, F.concat(F.lit("w"), F.col("id") % 9000))
+    facts = stored(spark.range(30000).select("id", word.alias("word")), "facts")
+    table = stored(facts.filter("word is not null and word <> 'w7'").groupBy("word").agg(F.count("*").alias("n")), "table")
+    plain = sorted(tuple(r) for r in facts.join(table, "word").collect())
+    for most, frequent, others in ((10, 5, True), (4, 0, True), (1 << 20, table.count() - 2, True)):
+        is_frequent, more = lookup.frequent_keys(table, "word", "n", most)
+        assert (table.filter(is_frequent).count(), more) == (frequent, others)
+        found = lookup.frequent_apart_lookup(facts, table, "word", "n", F.col("id"), most)
+        assert found.columns == ["word", "id", "n"]
+        assert sorted(tuple(r) for r in found.collect()) == plain
+    none = table.filter("n < 0")
+    assert lookup.frequent_apart_lookup(facts, none, "word", "n", F.col("id")).count() == 0
+
+
+def test_terms_of_frequent_words_meet_their_weights_without_a_shuffle(spark):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        weights = terms.tf_idf(counted(spark), frame(spark), "id")
+        assert len(weights.collect()) == 5
+        plan = weights._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
