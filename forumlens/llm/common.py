@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forumlens.session import ship
 
 
 def read(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -63,12 +62,3 @@ def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
 
     schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, fields)])
     return numbered(df).mapInArrow(renamed, schema).toDF(*[f.name for f in fields])
-
-
-def ship(spark: SparkSession) -> None:
-    """Let Python workers find this package where the driver has it; elsewhere it comes with --py-files."""
-    root = str(Path(__file__).resolve().parents[2])
-    environment = spark.sparkContext.environment
-    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])

@@ -40,24 +40,25 @@ def summary(confusion: DataFrame) -> DataFrame:
     )
 
 
-def area_under_roc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """One row: the share of pairs of a 1 and a 0 in which the 1 has the higher score, ties as halves.
+def area_under_roc(scored: DataFrame, label: str = "label", score: str = "score", *by: str) -> DataFrame:
+    """One row for each value of `by`: the share of pairs of a 1 and a 0 in which the 1 has the higher score, ties as halves.
 
     Rows are counted per score and dealt to tasks by ranges of it. Running sums are taken inside a range
     and over the ranges, whose number is that of the tasks. Null where a class is missing; rows
     without label or score are left out.
     """
     counts = (
-        scored.select(F.col(label).alias("label"), F.col(score).alias("score"))
+        scored.select(*by, F.col(label).alias("label"), F.col(score).alias("score"))
         .filter("label is not null and score is not null")
-        .groupBy("score")
+        .groupBy(*by, "score")
         .agg(F.count_if(F.col("label") == 1).alias("ones"), F.count_if(F.col("label") == 0).alias("zeros"))
     )
-    ranges = stored(counts.repartitionByRange("score").withColumn("part", F.spark_partition_id()), "scores")
-    parts = ranges.groupBy("part").agg(F.sum("zeros").alias("in_part"))
-    below = F.coalesce(F.sum("in_part").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inside = Window.partitionBy("part").orderBy("score")
-    placed = ranges.withColumn("upto", F.sum("zeros").over(inside)).join(parts.select("part", below.alias("below")), "part")
+    ranges = stored(counts.repartitionByRange(*by, "score").withColumn("part", F.spark_partition_id()), "scores")
+    parts = ranges.groupBy(*by, "part").agg(F.sum("zeros").alias("in_part"))
+    before = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("in_part").over(before), F.lit(0))
+    inside = Window.partitionBy(*by, "part").orderBy("score")
+    placed = ranges.withColumn("upto", F.sum("zeros").over(inside)).join(parts.select(*by, "part", below.alias("below")), [*by, "part"])
     won = F.col("ones").cast("double") * (F.col("below") + F.col("upto") - F.col("zeros") / 2)
     pairs = F.sum("ones").cast("double") * F.sum("zeros")
-    return placed.agg((F.sum(won) / F.nullif(pairs, F.lit(0.0))).alias("area_under_roc"))
+    return placed.groupBy(*by).agg((F.sum(won) / F.nullif(pairs, F.lit(0.0))).alias("area_under_roc"))

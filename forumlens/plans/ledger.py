@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from io import BytesIO
 from multiprocessing.pool import ThreadPool
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,27 +38,39 @@ class Ledger:
     """The fits below `path`, of one training set and one number of folds (`of` tells which)."""
 
     def __init__(self, spark: SparkSession, path: str, of: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        if self._exists(f"{self.path}/of/_SUCCESS"):
+        self.spark, self.path, self.java_path = spark, path.rstrip("/"), spark._jvm.org.apache.hadoop.fs.Path
+        self.files = self._place("").getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        if self.files.exists(self._place("/of/_SUCCESS")):
             known = spark.read.parquet(f"{self.path}/of").first()["of"]
             if known != of:
                 raise ValueError(f"the ledger at {self.path} belongs to other data or folds: {known}, not {of}")
         else:
             spark.createDataFrame([(of,)], "of string").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/of")
 
-    def _exists(self, path: str) -> bool:
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+    def _place(self, below: str):
+        return self.java_path(self.path + below)
 
     def has(self, fit: Fit) -> bool:
-        return self._exists(f"{self.path}/fits/{fit.name}/_SUCCESS")
+        return self.files.exists(self._place(f"/fits/{fit.name}/_SUCCESS"))
 
     def missing(self, fits: Iterable[Fit]) -> list[Fit]:
         return [fit for fit in fits if not self.has(fit)]
 
+    def _write(self, below: str, content: bytes) -> None:
+        out = self.files.create(self._place(below), True)
+        out.write(content)
+        out.close()
+
     def record(self, fit: Fit, metric: float) -> None:
+        """One row is no work for a job: the driver writes it, and marks it as committed after that."""
         row = (fit.point, fit.reg_param, fit.elastic_net_param, fit.max_iter, fit.fold, float(metric))
-        self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/fits/{fit.name}")
+        kinds = [pa.int32() if column.endswith(" int") else pa.float64() for column in SCHEMA.split(", ")]
+        cells, held = [pa.array([x], kind) for x, kind in zip(row, kinds)], BytesIO()
+        pq.write_table(pa.table(cells, names=[column.split()[0] for column in SCHEMA.split(", ")]), held)
+        folder = f"/fits/{fit.name}"
+        self.files.delete(self._place(folder), True)  # what a run that was stopped has left
+        self._write(f"{folder}/part-0.parquet", held.getvalue())
+        self._write(f"{folder}/_SUCCESS", b"")
 
     def table(self, fits: Iterable[Fit]) -> DataFrame:
         """The rows of those of `fits` that are there, with their numbers in this grid."""

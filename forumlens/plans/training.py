@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import product
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.operators.features import fitted_stages, term_hashing
+from forumlens.operators.joint_fits import Descent, joint_areas
 from forumlens.operators.splitting import fold, is_train
 from forumlens.plans.ledger import POINT, Fit, Ledger, grid_means
 from forumlens.session import scratch_path, stored
@@ -125,6 +127,35 @@ def fits_at_once(train: DataFrame, parallelism: int) -> int:
     return max(1, min(parallelism, storage_memory(train.sparkSession) // held))
 
 
+def by_area(evaluator: Evaluator) -> bool:
+    """Whether the metric is the area under ROC of the usual columns, each row counted once."""
+    if not isinstance(evaluator, BinaryClassificationEvaluator) or evaluator.getMetricName() != "areaUnderROC":
+        return False
+    return evaluator.getRawPredictionCol() == "rawPrediction" and evaluator.getLabelCol() == "label" and not evaluator.isSet("weightCol")
+
+
+def areas_together(placed: DataFrame, fits: list[Fit]) -> Iterator[dict[Fit, float]]:
+    """The areas under ROC of those of `fits` that can share their passes over `placed`, a group of them at a time.
+
+    These are fits of two classes, where both are inside and outside the fold that is left out.
+    """
+    counts = placed.filter(F.col(FOLD).isNotNull()).groupBy(FOLD).agg(
+        F.count("*").alias("rows"), F.count_if(F.col("label") == 0).alias("zeros"), F.count_if(F.col("label") == 1).alias("ones"), F.first("features").alias("sample")
+    )
+    folds = {r[FOLD]: r for r in counts.collect()}
+    if any(r["rows"] != r["zeros"] + r["ones"] for r in folds.values()):
+        return
+
+    def whole(left_out: int) -> bool:
+        sides = [r for k, r in folds.items() if k != left_out], [folds[left_out]] if left_out in folds else []
+        return all(sum(r[label] for r in side) for side in sides for label in ("zeros", "ones"))
+
+    able = {k for k in folds if whole(k)}
+    wanted = {(Descent(fit.reg_param, fit.elastic_net_param, fit.fold), fit.max_iter): fit for fit in fits if fit.fold in able}
+    if wanted:
+        yield from joint_areas(placed.filter(F.col(FOLD).isNotNull()), wanted, len(next(iter(folds.values()))["sample"]))
+
+
 def cross_validate(
     train: DataFrame,
     settings: Settings,
@@ -137,7 +168,8 @@ def cross_validate(
 ) -> Validated | None:
     """Every grid point over folds of whole questions; the best one is fitted again on all rows.
 
-    The fold stands in a stored table, so no fit computes it again. At most `parallelism` fits run side by side, fewer where
+    The fold stands in a stored table, so no fit computes it again. Fits of two classes that are measured by the area under ROC
+    share their passes over the rows (`operators.joint_fits`). Of others at most `parallelism` run side by side, fewer where
     the memory would not hold their rows. Each fit is one row of the ledger, in a folder that is given or
     in the shared scratch folder; with the same `ledger` a later run makes only what is missing, and jobs that take different
     parts of the grid (`part` k of n) share it. None when other parts are still missing.
@@ -153,7 +185,11 @@ def cross_validate(
             model = regression.fit(placed.filter(F.col(FOLD) != fit.fold))
             return evaluator.evaluate(model.transform(placed.filter(F.col(FOLD) == fit.fold)))
 
-        book.run(fits, make, fits_at_once(placed, parallelism), part)
+        own = [fit for k, fit in enumerate(fits) if k % part[1] == part[0]]
+        for areas in areas_together(placed, book.missing(own)) if by_area(evaluator) else ():
+            book.run(list(areas), areas.__getitem__, parallelism)
+        if book.missing(own):
+            book.run(fits, make, fits_at_once(placed, parallelism), part)
         if book.missing(fits):
             return None
     table = stored(grid_means(book.table(fits), *POINT, folds=folds), "grid-means")
